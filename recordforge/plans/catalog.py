@@ -13,6 +13,16 @@ from pyspark.sql import functions as F
 
 from recordforge.functions import text as tx
 from recordforge.operators import staging as stg
+from recordforge.operators.extract import (
+    APPLICATION_FIELDS,
+    ATTORNEY_FIELDS,
+    EMPLOYER_FIELDS,
+    JOB_FIELDS,
+    parse_lines,
+    split_extract,
+    typed_records,
+    wide_records,
+)
 from recordforge.operators.registrations import ct_city, registry_branch, SPECS_BY_STATE
 from recordforge.operators.repair import link_city, repair_soc, repair_wage_fields, repair_worksite
 from recordforge.plans import analytics as va
@@ -150,6 +160,19 @@ def q_application_attorney_left_join(spark, sf):
         "case_number", "agent_attorney_name", "agent_attorney_city", "attorney_id", "attorney_state")
 
 
+def _extract(spark, sf):
+    return split_extract(fx.extract_lines(spark, sf))
+
+
+def q_tsv_parse(spark, sf):
+    parsed = parse_lines(fx.extract_lines(spark, sf))
+    return typed_records(wide_records(parsed)).select(*TSV_PARSE_COLUMNS)
+
+
+TSV_PARSE_COLUMNS = ("field_count", "case_number", "employer_name", "case_submitted", "h1b_dependent",
+                     "wage_unit_of_pay", "worksite_postal_code", "original_cert_date")
+
+
 def q_top_rows_by_name(spark, sf):
     """The first 100 staged employers by name (employer_id breaks ties: a total order)."""
     return t.employer_temp(spark, sf).orderBy("employer_name", "employer_id").limit(100)
@@ -202,6 +225,13 @@ QUERIES: dict[str, Query] = {
     "digit_checks": q_digit_checks,
     "safe_casts": q_safe_casts,
     "wage_range_split": q_wage_range_split,
+    # wide extract
+    "tsv_parse": q_tsv_parse,
+    "tsv_rejects": lambda s, d: _extract(s, d)["rejects"],
+    "tsv_split_application": lambda s, d: _extract(s, d)["application"],
+    "tsv_split_job": lambda s, d: _extract(s, d)["job"],
+    "tsv_split_employer": lambda s, d: _extract(s, d)["employer"],
+    "tsv_split_attorney": lambda s, d: _extract(s, d)["attorney"],
 }
 
 
@@ -210,6 +240,12 @@ def _oracle() -> dict[str, str]:
     cities = o.strip("replace(employer_city, ',', '')")
     w15 = "wage_rate_of_pay"
     return {
+        "tsv_parse": s("tsv_typed", f"SELECT {', '.join(TSV_PARSE_COLUMNS)} FROM tsv_typed"),
+        "tsv_rejects": s("tsv_rejects"),
+        "tsv_split_application": s("tsv_typed", f"SELECT {', '.join(APPLICATION_FIELDS)} FROM tsv_typed"),
+        "tsv_split_job": s("tsv_typed", f"SELECT {', '.join(JOB_FIELDS)} FROM tsv_typed"),
+        "tsv_split_employer": s("tsv_typed", f"SELECT {', '.join(EMPLOYER_FIELDS)} FROM tsv_typed"),
+        "tsv_split_attorney": s("tsv_typed", f"SELECT {', '.join(ATTORNEY_FIELDS)} FROM tsv_typed"),
         "employer_age_report": s("tech_employer_age_report"),
         "employer_age_label": s("tech_employer_age_label"),
         "tech_employer_age": s("tech_employer_age"),

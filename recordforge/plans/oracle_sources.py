@@ -198,3 +198,30 @@ def with_ctes(names: tuple[str, ...] | list[str], body: str, extra: list[tuple[s
     if not parts:
         return body.strip()
     return "WITH " + ",\n".join(parts) + "\n" + body.strip()
+
+
+cte("tsv_lines", f"""
+SELECT array_to_string(list_slice([
+    case_number, case_status,
+    CAST(month(case_submitted) AS VARCHAR) || '/' || CAST(day(case_submitted) AS VARCHAR) || '/' || CAST(year(case_submitted) AS VARCHAR),
+    CAST(month(decision_date) AS VARCHAR) || '/' || CAST(day(decision_date) AS VARCHAR) || '/' || CAST(year(decision_date) AS VARCHAR),
+    visa_class, strftime(employment_start_date, '%m/%d/%Y'), strftime(employment_end_date, '%m/%d/%Y'),
+    coalesce(employer_name, ''), '', employer_address, coalesce(employer_city, ''), coalesce(employer_state, ''),
+    coalesce(employer_postal_code, ''), employer_country, coalesce(employer_province, ''),
+    coalesce(CAST(phone_number AS VARCHAR), ''), '',
+    CASE WHEN agent_attorney_name IS NOT NULL THEN 'Y' ELSE 'N' END,
+    coalesce(agent_attorney_name, ''), coalesce(agent_attorney_city, ''), coalesce(agent_attorney_state, ''),
+    coalesce(job_title, ''), soc_code, soc_name, '541511', CAST(total_workers AS VARCHAR),
+    '1', '0', '0', '0', '0', '0',
+    CASE k % 4 WHEN 0 THEN 'N' WHEN 1 THEN 'Yes' ELSE 'Y' END,
+    CASE WHEN CAST(w AS BIGINT) >= 1000
+         THEN CAST(CAST(w AS BIGINT) // 1000 AS VARCHAR) || ',' || lpad(CAST(CAST(w AS BIGINT) % 1000 AS VARCHAR), 3, '0') || '.00'
+         ELSE CAST(CAST(w AS BIGINT) AS VARCHAR) || '.00' END,
+    coalesce(pw_unit_of_pay, ''), 'Level II', pw_source, CAST(pw_source_year AS VARCHAR), pw_source_other,
+    CASE WHEN k % 79 = 0 THEN 'abc' ELSE CAST(CAST(w AS BIGINT) AS VARCHAR) END,
+    CAST(CAST(wage_rate_of_pay_to AS BIGINT) AS VARCHAR),
+    wage_unit_of_pay, CASE WHEN c % 2 = 0 THEN 'Y' ELSE 'N' END, CASE WHEN c % 5 = 0 THEN 'Y' ELSE 'N' END,
+    'Y', 'Y', '', worksite_city, worksite_county, worksite_state, coalesce(worksite_postal_code, ''), ''
+  ], 1, CASE WHEN k % 83 = 0 THEN 40 WHEN k % 3 = 0 THEN 41 ELSE 52 END), chr(9)) AS value
+FROM apps
+""", ("apps",))

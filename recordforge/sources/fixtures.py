@@ -376,3 +376,49 @@ def registry_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     )
     return src
 
+
+
+# --------------------------------------------------------------------------------------
+# The wide tab-separated extract: one text line per application (no header line).
+# --------------------------------------------------------------------------------------
+
+def _us_date(d: Column, padded: bool) -> Column:
+    if padded:
+        return F.date_format(d, "MM/dd/yyyy")
+    return F.concat_ws("/", _s(F.month(d)), _s(F.dayofmonth(d)), _s(F.year(d)))
+
+
+def extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ``value`` line per application: 52 tab-separated fields, 41 when k % 3 = 0, 40 when k % 83 = 0."""
+    a = applications_base(spark, sf_dir)
+    k, c = F.col("k"), F.col("c")
+    n = F.col("w").cast("bigint")
+    wage_text = F.when(
+        n >= 1000,
+        F.concat(_s(F.expr("cast(w as bigint) div 1000")), F.lit(","), F.lpad(_s(n % 1000), 3, "0"), F.lit(".00")),
+    ).otherwise(F.concat(_s(n), F.lit(".00")))
+    ftp = _pick(k % 4, ("N", "Yes", "Y", "Y"))
+    yn = lambda cond: F.when(cond, F.lit("Y")).otherwise(F.lit("N"))
+    fields = [
+        F.col("case_number"), F.col("case_status"),
+        _us_date(F.col("case_submitted"), False), _us_date(F.col("decision_date"), False),
+        F.col("visa_class"),
+        _us_date(F.col("employment_start_date"), True), _us_date(F.col("employment_end_date"), True),
+        F.col("employer_name"), F.lit(""), F.col("employer_address"), F.col("employer_city"),
+        F.col("employer_state"), F.col("employer_postal_code"), F.col("employer_country"),
+        F.col("employer_province"), _s(F.col("phone_number")), F.lit(""),
+        yn(F.col("agent_attorney_name").isNotNull()),
+        F.col("agent_attorney_name"), F.col("agent_attorney_city"), F.col("agent_attorney_state"),
+        F.col("job_title"), F.col("soc_code"), F.col("soc_name"), F.lit("541511"), _s(F.col("total_workers")),
+        F.lit("1"), F.lit("0"), F.lit("0"), F.lit("0"), F.lit("0"), F.lit("0"),
+        ftp, wage_text, F.col("pw_unit_of_pay"), F.lit("Level II"), F.col("pw_source"),
+        _s(F.col("pw_source_year")), F.col("pw_source_other"),
+        F.when(k % 79 == 0, F.lit("abc")).otherwise(_s(n)),
+        _s(F.col("wage_rate_of_pay_to").cast("bigint")),
+        F.col("wage_unit_of_pay"), yn(c % 2 == 0), yn(c % 5 == 0), F.lit("Y"), F.lit("Y"), F.lit(""),
+        F.col("worksite_city"), F.col("worksite_county"), F.col("worksite_state"), F.col("worksite_postal_code"),
+        F.lit(""),
+    ]
+    arr = F.array(*[F.coalesce(f.cast("string"), F.lit("")) for f in fields])
+    count = F.when(k % 83 == 0, F.lit(40)).when(k % 3 == 0, F.lit(41)).otherwise(F.lit(52))
+    return a.select(F.array_join(F.slice(arr, F.lit(1), count), "\t").alias("value"))
