@@ -60,9 +60,16 @@ ATTORNEY_FIELDS = ("agent_representing_employer", "agent_attorney_name", "agent_
 
 
 def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Strip and split every line; keeps the text, the field array and the field count."""
+    """Strip and split every line; keeps the text, the field array and the field count.
+
+    The split array comes out of a one-element ``explode``: Catalyst pushes the later
+    field-count filters below projections by inlining the projected expression, which would
+    evaluate the line (and whatever produced it) once more per filter; it does not push a
+    filter on a generated column below its generator, so each line is split exactly once.
+    """
     fields = F.split(F.btrim(F.col(value_col), F.lit(WHITESPACE)), F.lit("\t"), -1)
-    return lines.select(F.col(value_col).alias("line"), fields.alias("fields")).withColumn("field_count", F.size("fields"))
+    return lines.select(F.col(value_col).alias("line"), F.explode(F.array(fields)).alias("fields")).withColumn(
+        "field_count", F.size("fields"))
 
 
 def rejects(parsed: DataFrame) -> DataFrame:

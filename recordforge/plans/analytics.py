@@ -56,6 +56,12 @@ def tech_employers_13_states(employer: DataFrame, tech_job: DataFrame, employer_
     return out if employer_unique else out.distinct()
 
 
+def tech_employers_13_states_by_key(employer: DataFrame, tech_job_keys: DataFrame, keys: list[str]) -> DataFrame:
+    """V2 when the tech jobs are known by their employer link key instead of employer_id."""
+    e = employer.filter(F.col("employer_state").isin(*REGISTRY_STATES))
+    return e.join(tech_job_keys, on=keys, how="left_semi").select(*employer.columns)
+
+
 def tech_employer_age(tech_employers: DataFrame, registrations: DataFrame, as_of: dt.date | Column | None = None) -> DataFrame:
     """V3: employer name, state, registration date and age in years (boundaries crossed)."""
     asof = F.current_date() if as_of is None else (as_of if isinstance(as_of, Column) else F.lit(as_of))

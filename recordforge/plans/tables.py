@@ -132,9 +132,21 @@ def tech_jobs(spark: SparkSession, sf: str) -> DataFrame:
     return va.tech_jobs(job(spark, sf))
 
 
+def tech_job_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """(employer_name, employer_city) of every repaired job row with a tech occupation."""
+    jobs = job_repaired(with_link_key(job_temp(spark, sf)))
+    return va.tech_jobs(jobs).select(*EMPLOYER_KEY)
+
+
 def tech_employers(spark: SparkSession, sf: str) -> DataFrame:
-    emp = employer(spark, sf)
-    return va.tech_employers_13_states(emp, va.tech_jobs(job(spark, sf, emp)))
+    """V2 with the Employer plan used once.
+
+    A Job row carries employer_id exactly when its (name, city) has an Employer row, and
+    Employer is unique on (name, city) and on employer_id.  So "employer has a tech job"
+    equals "employer's (name, city) is the link key of a repaired tech job row": one
+    semi join on the link key, no second Employer plan and no job-employer join.
+    """
+    return va.tech_employers_13_states_by_key(employer(spark, sf), tech_job_keys(spark, sf), EMPLOYER_KEY)
 
 
 def tech_employer_age(spark: SparkSession, sf: str, as_of: dt.date = AS_OF) -> DataFrame:

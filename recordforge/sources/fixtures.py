@@ -32,8 +32,24 @@ NAME_SUFFIXES = (", INC.", " LLC", " CORPORATION", " CORP.", " LTD", " (USA) LP"
 USA = "UNITED STATES OF AMERICA"
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """One driver table; with ``spread`` it is spread over the cores when its scan has too few splits."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spread_small_input(df) if spread else df
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Round-robin repartition to the default parallelism, only when the scan has fewer splits.
+
+    A small file that is one parquet row group is one split, so every CPU-bound row
+    expression above it would run in one task.  The check reads planning metadata only (no
+    job); on a large input the scan already has more splits than cores and is returned as is,
+    so no shuffle is added at scale.
+    """
+    target = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
 
 
 def state_code(x: Column) -> Column:
@@ -56,9 +72,9 @@ def _s(x: Column) -> Column:
 # Applications (one row per order), then the four yearly tables with their schema drift.
 # --------------------------------------------------------------------------------------
 
-def applications_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+def applications_base(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """All application fields in clean types, one row per order (before year drift)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    o = table(spark, sf_dir, "orders", spread).select("o_orderkey", "o_custkey", "o_totalprice")
     k, c = F.col("k"), F.col("c")
     b = F.expr("c div 3")
     i = b % 25
@@ -390,7 +406,7 @@ def _us_date(d: Column, padded: bool) -> Column:
 
 def extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``value`` line per application: 52 tab-separated fields, 41 when k % 3 = 0, 40 when k % 83 = 0."""
-    a = applications_base(spark, sf_dir)
+    a = applications_base(spark, sf_dir, spread=True)  # CPU-heavy line building: use every core
     k, c = F.col("k"), F.col("c")
     n = F.col("w").cast("bigint")
     wage_text = F.when(
