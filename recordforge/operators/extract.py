@@ -108,7 +108,10 @@ def typed_records(wide: DataFrame) -> DataFrame:
 
 
 def split_extract(lines: DataFrame, value_col: str = "value", persist: bool = False) -> dict[str, DataFrame]:
-    """{'application', 'job', 'employer', 'attorney', 'rejects'} from one parse of the lines."""
+    """{'application', 'job', 'employer', 'attorney', 'rejects'} from one parse of the lines.
+
+    The parsed frame itself is returned under 'parsed' (unpersist it after writing).
+    """
     parsed = parse_lines(lines, value_col)
     if persist:
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
@@ -119,4 +122,5 @@ def split_extract(lines: DataFrame, value_col: str = "value", persist: bool = Fa
         "employer": typed.select(*EMPLOYER_FIELDS),
         "attorney": typed.select(*ATTORNEY_FIELDS),
         "rejects": rejects(parsed),
+        "parsed": parsed,
     }
