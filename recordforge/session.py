@@ -20,7 +20,10 @@ RECOMMENDED_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "4",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    "spark.sql.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
+    # Broadcast only on measured sizes: static planning would trust file-size estimates,
+    # which miss row growth from explode/joins; AQE decides from the materialised stage.
+    "spark.sql.autoBroadcastJoinThreshold": "-1",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": str(32 * 1024 * 1024),
     "spark.sql.files.maxPartitionBytes": str(256 * 1024 * 1024),
     "spark.sql.session.timeZone": "UTC",
 }
