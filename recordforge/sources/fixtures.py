@@ -13,6 +13,8 @@ w = floor(o_totalprice / 5), ST(x) = two-letter state number x % 15 of STATE_COD
 
 from __future__ import annotations
 
+import functools
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -32,6 +34,13 @@ NAME_SUFFIXES = (", INC.", " LLC", " CORPORATION", " CORP.", " LTD", " (USA) LP"
 USA = "UNITED STATES OF AMERICA"
 
 
+def memoized(fn):
+    """Build a frame once per (session, folder, args): DataFrames are immutable lazy plans, so
+    the same object can be handed to every plan component (less driver work, and identical
+    subtrees that Spark can share)."""
+    return functools.lru_cache(maxsize=64)(fn)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
     """One driver table; with ``spread`` it is spread over the cores when its scan has too few splits."""
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -72,6 +81,7 @@ def _s(x: Column) -> Column:
 # Applications (one row per order), then the four yearly tables with their schema drift.
 # --------------------------------------------------------------------------------------
 
+@memoized
 def applications_base(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
     """All application fields in clean types, one row per order (before year drift)."""
     o = table(spark, sf_dir, "orders", spread).select("o_orderkey", "o_custkey", "o_totalprice")
@@ -151,6 +161,7 @@ def applications_base(spark: SparkSession, sf_dir: str, spread: bool = False) ->
     )
 
 
+@memoized
 def yearly_applications(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     """The four yearly application tables, each with its own column names and types."""
     a = applications_base(spark, sf_dir)
@@ -248,6 +259,7 @@ def _areas_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@memoized
 def yearly_wages(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     """All_Industries_Wages_{year}: Area, SocCode, Average (hourly, annual or junk averages)."""
     socs = F.array(*[F.lit(j) for j in range(len(SOC_NAMES))])
@@ -265,6 +277,7 @@ def yearly_wages(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     return {y: w.filter(F.col("yr") == y).drop("yr") for y in YEARS}
 
 
+@memoized
 def yearly_geography(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     """Geography_{year}: Area, StateAb, CountyTownName."""
     g = _areas_by_year(spark, sf_dir).select(
@@ -279,6 +292,7 @@ def yearly_geography(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
 # Company registrations: one row per customer, then 13 state-shaped sources.
 # --------------------------------------------------------------------------------------
 
+@memoized
 def registrations_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("c"))
     c = F.col("c")
@@ -311,6 +325,7 @@ def registrations_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@memoized
 def registry_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The registries of the 13 states, each with its own column names (GA, MN, MO in two parts)."""
     r = registrations_base(spark, sf_dir)
@@ -404,6 +419,7 @@ def _us_date(d: Column, padded: bool) -> Column:
     return F.concat_ws("/", _s(F.month(d)), _s(F.dayofmonth(d)), _s(F.year(d)))
 
 
+@memoized
 def extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``value`` line per application: 52 tab-separated fields, 41 when k % 3 = 0, 40 when k % 83 = 0."""
     a = applications_base(spark, sf_dir, spread=True)  # CPU-heavy line building: use every core
