@@ -41,6 +41,15 @@ APPLICATION_COLUMNS = (
 )
 
 
+def sample_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
+    """The first ``n`` rows in a total order (add a unique column to ``order_by``).
+
+    A development sample of an input; Spark plans it as a top-k (each task keeps its best n
+    rows, one task merges them), never a full sort.
+    """
+    return df.orderBy(*order_by).limit(n)
+
+
 def valid_employer(name: str = "employer_name", city: str = "employer_city") -> Column:
     """The junk-name guard used by every staging statement."""
     return F.col(name).isNotNull() & (F.col(name) != "1") & F.col(city).isNotNull()

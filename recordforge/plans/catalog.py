@@ -175,7 +175,7 @@ TSV_PARSE_COLUMNS = ("field_count", "case_number", "employer_name", "case_submit
 
 def q_top_rows_by_name(spark, sf):
     """The first 100 staged employers by name (employer_id breaks ties: a total order)."""
-    return t.employer_temp(spark, sf).orderBy("employer_name", "employer_id").limit(100)
+    return stg.sample_rows(t.employer_temp(spark, sf), 100, ["employer_name", "employer_id"])
 
 
 QUERIES: dict[str, Query] = {

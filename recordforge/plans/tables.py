@@ -104,7 +104,7 @@ def job(spark: SparkSession, sf: str, employers: DataFrame | None = None) -> Dat
 def application(spark: SparkSession, sf: str, employers: DataFrame | None = None) -> DataFrame:
     """Application: applications linked to their employer's id."""
     emp = (employers if employers is not None else employer(spark, sf)).select("employer_id", *EMPLOYER_KEY)
-    apps = with_link_key(application_temp(spark, sf).withColumn("employer_city", F.col("employer_city")))
+    apps = with_link_key(application_temp(spark, sf))
     return link_to_first(apps, emp, EMPLOYER_KEY, "employer_id", right_unique=True).select(*APPLICATION_OUTPUT)
 
 
