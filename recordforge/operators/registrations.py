@@ -80,7 +80,7 @@ REGISTRY_SPECS: tuple[RegistrySpec, ...] = (
 SPECS_BY_STATE = {s.state: s for s in REGISTRY_SPECS}
 
 
-def registry_branch(spec: RegistrySpec, sources: Mapping[str, DataFrame]) -> DataFrame:
+def registry_branch(spec: RegistrySpec, sources: Mapping[str, DataFrame], apply_distinct: bool = True) -> DataFrame:
     """One state's rows in the merged shape (J1/J2 for the two-part registries)."""
     if spec.join_key is None:
         df = sources[spec.sources[0]]
@@ -99,13 +99,22 @@ def registry_branch(spec: RegistrySpec, sources: Mapping[str, DataFrame]) -> Dat
         F.lit(spec.state).alias("corporation_state"),
         date.alias("registration_date"),
     )
-    return out.distinct() if spec.distinct else out
+    return out.distinct() if (spec.distinct and apply_distinct) else out
 
 
 def merge_registrations(sources: Mapping[str, DataFrame], specs: tuple[RegistrySpec, ...] = REGISTRY_SPECS) -> DataFrame:
-    """Corporate_Registrations_Merged = UNION ALL of every available state branch."""
-    branches = [registry_branch(s, sources) for s in specs if all(n in sources for n in s.sources)]
-    return reduce(lambda a, b: a.unionByName(b), branches)
+    """Corporate_Registrations_Merged = UNION ALL of every available state branch.
+
+    Every branch carries its own state literal, so no row of one branch equals a row of
+    another: DISTINCT per branch equals one DISTINCT over the union of the distinct branches.
+    That is one aggregate and one shuffle instead of one per state.
+    """
+    usable = [s for s in specs if all(n in sources for n in s.sources)]
+    union = lambda frames: reduce(lambda a, b: a.unionByName(b), frames)
+    deduped = [registry_branch(s, sources, apply_distinct=False) for s in usable if s.distinct]
+    kept = [registry_branch(s, sources) for s in usable if not s.distinct]
+    parts = ([union(deduped).distinct()] if deduped else []) + kept
+    return union(parts)
 
 
 def clean_registrations(merged: DataFrame) -> DataFrame:
