@@ -2,6 +2,7 @@
 
 import datetime as dt
 import os
+import uuid
 
 from recordforge.operators.extract import EXTRACT_FIELDS, split_extract
 from recordforge.sources.text_source import read_extract_lines
@@ -59,7 +60,8 @@ def test_stream_available_now(spark, scratch):
     with open(os.path.join(landing, "a.tsv"), "w") as f:
         f.write(make_line(52, case_number="S1") + "\n" + make_line(30) + "\n")
     out = os.path.join(scratch, "out")
-    q = start_extract_stream(spark, landing, out, query_name="t_stream", available_now=True)
+    # a streaming checkpoint belongs to one query: a fresh name per run under spark.checkpoint.dir
+    q = start_extract_stream(spark, landing, out, query_name=f"t_stream_{uuid.uuid4().hex[:12]}", available_now=True)
     q.awaitTermination(120)
     assert spark.read.parquet(os.path.join(out, "application")).count() == 1
     assert spark.read.parquet(os.path.join(out, "rejects")).count() == 1
