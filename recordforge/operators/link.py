@@ -23,14 +23,24 @@ NULL_SPREAD = 64
 
 
 def link_to_first(left: DataFrame, right: DataFrame, keys: Sequence[str], order_by: str,
-                  right_unique: bool = False) -> DataFrame:
+                  right_unique: bool = False, salt_buckets: int = 0) -> DataFrame:
     """Attach the columns of the first right row of each key to every left row with that key.
 
     Rows whose key has no right row are dropped (an inner join).  With ``right_unique`` the
     caller asserts one right row per key and the dedup aggregate is skipped.
+
+    ``salt_buckets=N`` spreads a hot key without relying on AQE: every left row gets a salt in
+    0..N-1 from a hash of its content (stable when a task is recomputed), and the one right row
+    of each key is repeated N times, once per salt.  The join key becomes (keys, salt), so a key
+    holding a third of all left rows is split over N reducers; the result is unchanged.
     """
     r = right if right_unique else first_per_key(right, keys, order_by)
-    return left.join(r, on=list(keys), how="inner")
+    if salt_buckets <= 1:
+        return left.join(r, on=list(keys), how="inner")
+    salt = "_link_salt"
+    l2 = left.withColumn(salt, F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.lit(salt_buckets)).cast("int"))
+    r2 = r.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salt_buckets - 1))))
+    return l2.join(r2, on=[*keys, salt], how="inner").drop(salt)
 
 
 def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_keys: Sequence[str],

@@ -103,3 +103,15 @@ def test_table_sinks(spark, scratch):
     assert back.schema == schemas.EMPLOYER
     with pytest.raises(ValueError):
         overwrite_existing(spark, back, "rf_missing_table_xyz")
+
+
+def test_salted_link_equals_plain_link(spark):
+    from oracle_check import digest
+    from recordforge.operators.link import link_to_first
+    # one hot key holding most of the left rows
+    left = spark.createDataFrame([(i, "HOT" if i % 3 else f"K{i % 7}") for i in range(300)], "id int, k string")
+    right = spark.createDataFrame([("HOT", "e1"), ("K0", "e2"), ("K3", "e3"), ("K3", "e0")], "k string, eid string")
+    plain = link_to_first(left, right, ["k"], "eid")
+    salted = link_to_first(left, right, ["k"], "eid", salt_buckets=8)
+    assert digest(plain.columns, [tuple(r) for r in plain.collect()]) == digest(salted.columns, [tuple(r) for r in salted.collect()])
+    assert plain.filter("k = 'K3'").select("eid").distinct().first()[0] == "e0"
