@@ -115,3 +115,13 @@ def test_salted_link_equals_plain_link(spark):
     salted = link_to_first(left, right, ["k"], "eid", salt_buckets=8)
     assert digest(plain.columns, [tuple(r) for r in plain.collect()]) == digest(salted.columns, [tuple(r) for r in salted.collect()])
     assert plain.filter("k = 'K3'").select("eid").distinct().first()[0] == "e0"
+
+
+def test_small_join_side_broadcast_on_measured_size(spark):
+    """Static planning never broadcasts (threshold -1); AQE does, once the side is measured."""
+    assert spark.conf.get("spark.sql.autoBroadcastJoinThreshold") == "-1"
+    df = t.salary_comparison(spark, SF_SMALL)
+    df.collect()  # executes this DataFrame's own plan (small at this scale)
+    final = plan_text(df)
+    assert "isFinalPlan=true" in final
+    assert "BroadcastHashJoin" in final
