@@ -33,6 +33,28 @@ RECOMMENDED_CONF = {
 }
 
 
+TARGET_PARTITION_BYTES = 256 * 1024 * 1024
+
+
+def sized_conf(input_bytes: int, shuffle_ratio: float = 1.0, cores: int | None = None) -> dict[str, str]:
+    """Settings sized to the input: each shuffle partition near 256 MB so it fits in executor memory.
+
+    ``shuffle_ratio`` is the expected shuffle bytes per input byte (after pruning and partial
+    aggregation; the staging distincts shuffle about what they read).  AQE starts from this
+    many partitions and coalesces small ones, so over-estimating costs little, while too few
+    partitions make each task spill.  The count is at least ``2 * cores`` so every core works.
+    """
+    shuffle_bytes = max(1, int(input_bytes * shuffle_ratio))
+    parts = max(-(-shuffle_bytes // TARGET_PARTITION_BYTES), 2 * (cores or 1), 8)
+    return {
+        **RECOMMENDED_CONF,
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(TARGET_PARTITION_BYTES),
+        "spark.sql.files.maxPartitionBytes": str(TARGET_PARTITION_BYTES),
+    }
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "recordforge") -> SparkSession:
     """A local session for tests and the bench (UI off, checkpoint dir in a fresh scratch dir)."""
     builder = (

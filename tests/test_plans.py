@@ -125,3 +125,12 @@ def test_small_join_side_broadcast_on_measured_size(spark):
     final = plan_text(df)
     assert "isFinalPlan=true" in final
     assert "BroadcastHashJoin" in final
+
+
+def test_sized_conf():
+    from recordforge.session import sized_conf
+    tb = 1024 ** 4
+    conf = sized_conf(100 * tb, shuffle_ratio=0.5, cores=8000)
+    assert int(conf["spark.sql.shuffle.partitions"]) == 50 * 4096       # 50 TB / 256 MB
+    assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
+    assert int(sized_conf(10 ** 6, cores=8)["spark.sql.shuffle.partitions"]) == 16
