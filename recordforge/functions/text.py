@@ -6,6 +6,7 @@ inside whole-stage codegen; no Python UDF is involved.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column
@@ -43,12 +44,25 @@ def remove_all(col: Column | str, tokens: Sequence[str]) -> Column:
     return out
 
 
-def normalize_org_name(col: Column | str, upper: bool = False, tokens: Sequence[str] = ORG_NAME_TOKENS) -> Column:
-    """Optionally upper-case, remove punctuation and legal suffixes, strip."""
+def normalize_org_name(col: Column | str, upper: bool = False, tokens: Sequence[str] = ORG_NAME_TOKENS,
+                       whole_word: bool = False) -> Column:
+    """Optionally upper-case, remove punctuation and legal suffixes, strip.
+
+    By default a suffix token is removed anywhere, also inside a word (' INCORPORATED' loses
+    ' INC'), as the reference does.  ``whole_word=True`` removes a suffix token (one starting
+    with a blank) only where no letter or digit follows it; punctuation is removed as usual.
+    """
     c = _c(col)
     if upper:
         c = F.upper(c)
-    return strip(remove_all(c, tokens))
+    if not whole_word:
+        return strip(remove_all(c, tokens))
+    for tok in tokens:
+        if tok.startswith(" "):
+            c = F.regexp_replace(c, re.escape(tok) + r"(?![A-Za-z0-9])", "")
+        else:
+            c = F.replace(c, F.lit(tok), F.lit(""))
+    return strip(c)
 
 
 def is_all_digits(col: Column | str) -> Column:

@@ -196,14 +196,20 @@ def application_rows(yearly: Mapping[int, DataFrame]) -> DataFrame:
     return aligned_union(yearly, cols, APPLICATION_ALIGN, valid_employer(), {"case_submitted": "date", "decision_date": "date"})
 
 
-def application_staging(yearly: Mapping[int, DataFrame], attorneys: DataFrame | None = None) -> DataFrame:
-    """Application_Temp: UNION ALL of the years, LEFT JOIN Attorney on (name, city)."""
+def application_staging(yearly: Mapping[int, DataFrame], attorneys: DataFrame | None = None,
+                        match_state: bool = False) -> DataFrame:
+    """Application_Temp: UNION ALL of the years, LEFT JOIN Attorney on (name, city).
+
+    Attorney is unique on (name, city, state), so joining on two of the three columns
+    repeats an application once per state its attorney's name and city occur with, as the
+    reference does.  ``match_state=True`` joins on all three: one row per application.
+    """
     from recordforge.operators.link import left_join_spread_nulls
 
     apps = application_rows(yearly)
     att = attorneys if attorneys is not None else attorney_dim(yearly)
-    joined = left_join_spread_nulls(
-        apps, att.select("attorney_id", "attorney_name", "attorney_city"),
-        ["agent_attorney_name", "agent_attorney_city"], ["attorney_name", "attorney_city"],
-    )
+    lk, rk = ["agent_attorney_name", "agent_attorney_city"], ["attorney_name", "attorney_city"]
+    if match_state:
+        lk, rk = lk + ["agent_attorney_state"], rk + ["attorney_state"]
+    joined = left_join_spread_nulls(apps, att.select("attorney_id", *rk), lk, rk)
     return joined.select(*APPLICATION_COLUMNS, "attorney_id")

@@ -134,3 +134,12 @@ def test_sized_conf():
     assert int(conf["spark.sql.shuffle.partitions"]) == 50 * 4096       # 50 TB / 256 MB
     assert conf["spark.sql.autoBroadcastJoinThreshold"] == "-1"
     assert int(sized_conf(10 ** 6, cores=8)["spark.sql.shuffle.partitions"]) == 16
+
+
+def test_attorney_join_match_state_option(spark):
+    y = fx.yearly_applications(spark, SF_SMALL)
+    loose = stg.application_staging(y)
+    strict = stg.application_staging(y, match_state=True)
+    assert strict.count() == stg.application_rows(y).count()
+    assert loose.count() >= strict.count()
+    assert strict.select("case_number").distinct().count() == strict.count()

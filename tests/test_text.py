@@ -108,3 +108,10 @@ def test_text_key_is_stable(spark):
     df = spark.createDataFrame([("a", None, 1.0), ("a", None, 1.0), ("a", "", 1.0)], "p string, q string, w double")
     keys = [r.k for r in df.select(tx.text_key(["p", "q", "w"], {"w": "double"}).alias("k")).collect()]
     assert keys[0] == keys[1] and keys[0] != keys[2]
+
+
+def test_normalize_whole_word_option(spark):
+    df = one_col(spark, ["BAR INCORPORATED", "ACME, INC.", "X PCS LPX", "FOO CORP", "A LTD/B"])
+    got = [r.n for r in df.select(tx.normalize_org_name("x", whole_word=True).alias("n")).collect()]
+    # punctuation goes first, so "A LTD/B" becomes "A LTDB", where " LTD" is not a whole word
+    assert got == ["BAR INCORPORATED", "ACME", "X PCS LPX", "FOO", "A LTDB"]
