@@ -1,10 +1,12 @@
 """The extract split as a Structured Streaming job over a landing folder.
 
 New extract files dropped into ``landing_dir`` are picked up by the file source, split with
-the same operator as the batch job, and appended to the four entity tables and the rejects
-table.  ``foreachBatch`` writes all outputs of one micro-batch from one persisted parse;
-the checkpoint (offsets and commits) lives under ``spark.checkpoint.dir`` so a restarted
-query resumes where it stopped and a batch is never committed twice.
+the same operator as the batch job, and added to the four entity tables and the rejects
+table.  ``foreachBatch`` writes all outputs of one micro-batch from one persisted parse,
+each into its own ``batch_id=N`` folder (a readable partition column), overwriting it: the
+sink is idempotent, so the at-least-once replay of a failed batch yields each row once.  The
+checkpoint (offsets and commits) lives under ``spark.checkpoint.dir``, so a restarted query
+resumes where it stopped.
 """
 
 from __future__ import annotations
@@ -35,7 +37,9 @@ def _write_batch(out_dir: str):
         try:
             for name, schema in TARGETS.items():
                 df = parts[name] if schema is None else conform(parts[name], schema)
-                df.write.mode("append").parquet(f"{out_dir.rstrip('/')}/{name}")
+                # one folder per micro-batch, overwritten: a batch replayed after a failure
+                # replaces its earlier (possibly partial) output instead of adding to it
+                df.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/{name}/batch_id={batch_id}")
         finally:
             parts["parsed"].unpersist()
     return write
