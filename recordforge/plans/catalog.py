@@ -55,22 +55,23 @@ def q_digit_checks(spark, sf):
 
 
 def q_safe_casts(spark, sf):
+    """F4-F7 over all four yearly tables: each year casts the fields it stores as text."""
     y = fx.yearly_applications(spark, sf)
-    a18 = y[2018].select(
-        "case_number",
-        tx.safe_double(F.col("wage_rate_of_pay_from")).alias("wage_from"),
-        tx.safe_double(F.col("prevailing_wage")).alias("prevailing_wage"),
-        tx.safe_bool(F.col("full_time_position")).alias("full_time_position"),
-        F.col("case_submitted").alias("case_submitted"),
-    )
-    a16 = y[2016].select(
-        "case_number",
-        F.col("wage_rate_of_pay_from").alias("wage_from"),
-        F.col("prevailing_wage"),
-        tx.safe_bool(F.col("full_time_position")).alias("full_time_position"),
-        tx.safe_date(F.col("case_submitted")).alias("case_submitted"),
-    )
-    return a18.unionByName(a16)
+    per_year = {
+        2018: (tx.safe_double(F.col("wage_rate_of_pay_from")), tx.safe_double(F.col("prevailing_wage")),
+               tx.safe_bool(F.col("full_time_position")), F.col("case_submitted")),
+        2017: (F.col("wage_rate_of_pay_from"), F.col("prevailing_wage"), F.col("full_time_position"),
+               tx.safe_date(F.col("case_submitted"))),
+        2016: (F.col("wage_rate_of_pay_from"), F.col("prevailing_wage"), tx.safe_bool(F.col("full_time_position")),
+               tx.safe_date(F.col("case_submitted"))),
+        2015: (stg.wage_range_from(F.col("wage_rate_of_pay")), F.col("prevailing_wage"), F.col("full_time_position"),
+               tx.safe_date(F.col("case_submitted"))),
+    }
+    names = ("wage_from", "prevailing_wage", "full_time_position", "case_submitted")
+    return stg.union_all([
+        y[year].select("case_number", *[c.alias(n) for c, n in zip(cols, names)])
+        for year, cols in per_year.items()
+    ])
 
 
 def q_wage_range_split(spark, sf):
@@ -312,12 +313,19 @@ def _oracle() -> dict[str, str]:
         "digit_checks": o.with_ctes(["apps"], f"""
             SELECT case_number, employer_city, {o.digits(cities)} AS city_is_digits, {o.lead(cities)} AS city_starts_with_digit
             FROM apps WHERE employer_city IS NOT NULL"""),
-        "safe_casts": o.with_ctes(["apps_2018", "apps_2016"], f"""
+        "safe_casts": o.with_ctes(list(o.YEARS), f"""
             SELECT case_number, {o.safe_double('wage_rate_of_pay_from')} AS wage_from, {o.safe_double('prevailing_wage')} AS prevailing_wage,
                    {o.safe_bool('full_time_position')} AS full_time_position, case_submitted FROM apps_2018
             UNION ALL
+            SELECT case_number, wage_rate_of_pay_from, prevailing_wage, full_time_position,
+                   {o.safe_date('case_submitted')} FROM apps_2017
+            UNION ALL
             SELECT case_number, wage_rate_of_pay_from, prevailing_wage, {o.safe_bool('full_time_position')},
-                   {o.safe_date('case_submitted')} FROM apps_2016"""),
+                   {o.safe_date('case_submitted')} FROM apps_2016
+            UNION ALL
+            SELECT case_number,
+                   CASE WHEN strpos(wage_rate_of_pay, '-') > 0 THEN {o.safe_double(o.strip("substr(wage_rate_of_pay, 1, strpos(wage_rate_of_pay, '-') - 1)"))} END,
+                   prevailing_wage, full_time_position, {o.safe_date('case_submitted')} FROM apps_2015"""),
         "wage_range_split": o.with_ctes(["apps_2015"], f"""
             SELECT case_number, {w15},
               CASE WHEN strpos({w15}, '-') > 0 THEN {o.safe_double(o.strip(f"substr({w15}, 1, strpos({w15}, '-') - 1)"))} END AS wage_rate_of_pay_from,
