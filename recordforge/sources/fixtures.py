@@ -34,11 +34,33 @@ NAME_SUFFIXES = (", INC.", " LLC", " CORPORATION", " CORP.", " LTD", " (USA) LP"
 USA = "UNITED STATES OF AMERICA"
 
 
+def _fresh(value):
+    if isinstance(value, DataFrame):
+        return value.select("*")
+    if isinstance(value, dict):
+        return {k: _fresh(v) for k, v in value.items()}
+    if isinstance(value, tuple):
+        return tuple(_fresh(v) for v in value)
+    return value
+
+
 def memoized(fn):
-    """Build a frame once per (session, folder, args): DataFrames are immutable lazy plans, so
-    the same object can be handed to every plan component (less driver work, and identical
-    subtrees that Spark can share)."""
-    return functools.lru_cache(maxsize=64)(fn)
+    """Build a plan once per (session, folder, args) and hand out fresh wrappers of it.
+
+    DataFrames are immutable lazy plans, so the expensive driver-side construction (hundreds
+    of expression calls) is done once.  The cached object itself is never executed: each call
+    returns ``select("*")`` over it (a no-op projection that Catalyst removes), so an executed
+    plan - with its shuffle files and broadcast data - belongs to the caller and is released
+    with it, never pinned by the cache.
+    """
+    cached = functools.lru_cache(maxsize=64)(fn)
+
+    @functools.wraps(fn)
+    def wrapper(*args, **kwargs):
+        return _fresh(cached(*args, **kwargs))
+
+    wrapper.cache_clear = cached.cache_clear
+    return wrapper
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:

@@ -18,7 +18,8 @@ def spark():
     from recordforge.session import RECOMMENDED_CONF, ensure_checkpoint_dir
 
     b = (SparkSession.builder.master("local[*]").appName("recordforge-tests")
-         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false"))
+         .config("spark.sql.shuffle.partitions", "8").config("spark.ui.enabled", "false")
+         .config("spark.driver.memory", "4g"))
     for k, v in RECOMMENDED_CONF.items():
         b = b.config(k, v)
     s = b.getOrCreate()
