@@ -77,10 +77,12 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     job); on a large input the scan already has more splits than cores and is returned as is,
     so no shuffle is added at scale.
     """
-    target = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a remote session): leave the scan as is
         return df
-    return df.repartition(target)
+    return df if splits >= target else df.repartition(target)
 
 
 def state_code(x: Column) -> Column:

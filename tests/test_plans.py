@@ -143,3 +143,23 @@ def test_attorney_join_match_state_option(spark):
     assert strict.count() == stg.application_rows(y).count()
     assert loose.count() >= strict.count()
     assert strict.select("case_number").distinct().count() == strict.count()
+
+
+def test_salted_job_link_on_real_pipeline(spark):
+    from oracle_check import digest
+    from recordforge.operators.link import link_to_first
+    jobs = t.job_repaired(t.with_link_key(t.job_temp(spark, SF_SMALL)))
+    emp = t.employer(spark, SF_SMALL).select("employer_id", *t.EMPLOYER_KEY)
+    plain = link_to_first(jobs, emp, t.EMPLOYER_KEY, "employer_id", right_unique=True).select(*t.JOB_OUTPUT)
+    salted = link_to_first(jobs, emp, t.EMPLOYER_KEY, "employer_id", right_unique=True, salt_buckets=16).select(*t.JOB_OUTPUT)
+    assert digest(plain.columns, [tuple(r) for r in plain.collect()]) == digest(salted.columns, [tuple(r) for r in salted.collect()])
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from recordforge.session import ensure_checkpoint_dir
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    path = ensure_checkpoint_dir(spark)
+    assert path
+    if configured:
+        assert path == configured
+    assert spark.sparkContext.getCheckpointDir()
