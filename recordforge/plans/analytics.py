@@ -101,10 +101,10 @@ def employer_age_report(labelled: DataFrame) -> DataFrame:
 
 def salary_comparison(tech_job: DataFrame, geography: DataFrame, wages: DataFrame) -> DataFrame:
     """V6: each tech job's offered wage against the area's average for its occupation and year."""
-    j = tech_job.filter(F.col("wage_rate_of_pay_from").isNotNull()).select(
+    j = computed_once(tech_job.filter(F.col("wage_rate_of_pay_from").isNotNull()).select(
         "job_id", "worksite_county", "worksite_state", "soc_code", "soc_name",
         "employment_start_year", "employment_start_date", "wage_rate_of_pay_from",
-    )
+    ))
     g = geography.select(
         F.col("county").alias("worksite_county"), F.col("state").alias("worksite_state"),
         F.col("year").alias("employment_start_year"), "area", F.col("state"),
@@ -129,6 +129,17 @@ def salary_comparison(tech_job: DataFrame, geography: DataFrame, wages: DataFram
     )
 
 
+def computed_once(df: DataFrame) -> DataFrame:
+    """Emit the rows through a one-row ``inline``, so each column is computed once.
+
+    The join keys of the comparison are repaired values (long expressions).  Catalyst would
+    push the inferred ``IS NOT NULL`` filters on them below the repairs by inlining each
+    key's expression into the filter, evaluating it twice and, on long derivations,
+    overflowing the generated-code size limit.  Filters are not pushed below a generator.
+    """
+    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
 def salary_delta_by_occupation(comparison: DataFrame) -> DataFrame:
     """V7: average offered and average national pay per occupation, and their difference."""
     return comparison.groupBy("soc_code", "soc_name").agg(
