@@ -15,13 +15,18 @@ from recordforge import schemas
 from recordforge.operators.extract import split_extract
 from recordforge.plans import analytics as va
 from recordforge.plans import tables as t
-from recordforge.sources.sinks import audit_stage, run_id, write_partitioned, write_table
+from recordforge.sources.sinks import audit_stage, run_id, write_bucketed_table, write_partitioned, write_table
 from recordforge.sources.text_source import read_extract_lines
 
 
 def build_all(spark: SparkSession, sf_dir: str, out_dir: str, audit_dir: str | None = None,
-              as_of: dt.date = t.AS_OF) -> dict[str, str]:
-    """Build Employer, Job, Application, Attorney, registrations, wages, geography and the report."""
+              as_of: dt.date = t.AS_OF, employer_buckets: int = 0,
+              employer_table: str = "employer_bucketed") -> dict[str, str]:
+    """Build Employer, Job, Application, Attorney, registrations, wages, geography and the report.
+
+    With ``employer_buckets=N`` Employer is written as a catalog table bucketed by its link key
+    (name, city), so the job and the application links read it without shuffling it again.
+    """
     out = out_dir.rstrip("/")
     run = run_id()
     paths = {n: f"{out}/{n}" for n in (
@@ -30,8 +35,12 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str, audit_dir: str | N
 
     emp_temp = t.employer_temp(spark, sf_dir)
     audit_stage(emp_temp, audit_dir, run, "employer_temp")
-    write_table(t.employer(spark, sf_dir), paths["employer"], schemas.EMPLOYER)
-    employer = spark.read.parquet(paths["employer"])
+    if employer_buckets > 0:
+        employer = write_bucketed_table(spark, t.employer(spark, sf_dir), employer_table, paths["employer"],
+                                        t.EMPLOYER_KEY, employer_buckets, schemas.EMPLOYER)
+    else:
+        write_table(t.employer(spark, sf_dir), paths["employer"], schemas.EMPLOYER)
+        employer = spark.read.parquet(paths["employer"])
 
     write_table(t.attorney(spark, sf_dir), paths["attorney"], schemas.ATTORNEY)
     write_table(t.job(spark, sf_dir, employer), paths["job"], schemas.JOB)

@@ -50,6 +50,21 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], sort_by
     out.write.mode(mode).partitionBy(*partition_by).parquet(path)
 
 
+def write_bucketed_table(spark: SparkSession, df: DataFrame, table: str, path: str, keys: list[str], buckets: int,
+                         schema: StructType | None = None) -> DataFrame:
+    """A catalog table bucketed and sorted by ``keys`` (files at ``path``); returns it read back.
+
+    Joins on ``keys`` against this table need no shuffle of its side: its scan already
+    reports hash partitioning into ``buckets`` partitions, so only the other side is shuffled
+    (into the same number of partitions).  Useful for a table joined more than once and too
+    large to broadcast.
+    """
+    out = conform(df, schema) if schema is not None else df
+    (out.write.mode("overwrite").bucketBy(buckets, *keys).sortBy(*keys)
+     .option("path", path).saveAsTable(table))
+    return spark.table(table)
+
+
 def run_id(now: dt.datetime | None = None) -> str:
     """Run stamp ``%Y_%m_%d_%H_%M_%S``."""
     return (now or dt.datetime.now()).strftime("%Y_%m_%d_%H_%M_%S")

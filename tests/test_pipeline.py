@@ -2,15 +2,19 @@
 
 import os
 
+import pytest
+
 from conftest import SF_SMALL
 from recordforge.plans import pipeline
 from recordforge.plans import tables as t
 from recordforge.sources import fixtures as fx
 
 
-def test_build_all(spark, scratch):
+@pytest.mark.parametrize("buckets", [0, 4])
+def test_build_all(spark, scratch, buckets):
     out, audit = os.path.join(scratch, "out"), os.path.join(scratch, "audit")
-    paths = pipeline.build_all(spark, SF_SMALL, out, audit_dir=audit)
+    paths = pipeline.build_all(spark, SF_SMALL, out, audit_dir=audit, employer_buckets=buckets,
+                               employer_table=f"rf_test_emp_{buckets}")
     read = lambda n: spark.read.parquet(paths[n])
     assert read("employer").count() == t.employer(spark, SF_SMALL).count()
     assert read("job").count() == t.job(spark, SF_SMALL).count()
@@ -32,3 +36,23 @@ def test_split_extract_files(spark, scratch):
     accepted = spark.read.parquet(paths["application"]).count()
     rejected = spark.read.parquet(paths["rejects"]).count()
     assert accepted + rejected == n_lines and rejected > 0
+
+
+def test_bucketed_employer_is_not_shuffled_again(spark, scratch):
+    from recordforge import schemas
+    from recordforge.sources.sinks import write_bucketed_table
+    old = spark.conf.get("spark.sql.adaptive.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")   # force a shuffled join
+    try:
+        emp = write_bucketed_table(spark, t.employer(spark, SF_SMALL), "rf_test_employer_bucketed",
+                                   os.path.join(scratch, "employer"), t.EMPLOYER_KEY, 4, schemas.EMPLOYER)
+        job = t.job(spark, SF_SMALL, emp)
+        plan = job._jdf.queryExecution().executedPlan().toString()
+        scan = [line for line in plan.split("\n") if "rf_test_employer_bucketed" in line or "SelectedBucketsCount" in line]
+        assert any("SelectedBucketsCount: 4 out of 4" in line for line in scan), plan[:3000]
+        # exactly one side of the link is shuffled on the link key
+        assert plan.count("Exchange hashpartitioning(employer_name") == 1
+        assert job.count() == t.job(spark, SF_SMALL).count()
+    finally:
+        spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", old)
+        spark.sql("DROP TABLE IF EXISTS rf_test_employer_bucketed")
