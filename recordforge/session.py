@@ -76,14 +76,18 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
-    On a cluster that setting names a shared folder and is used as is.  Only when it is
-    unset (local tests) a fresh scratch folder is made and set.
+    On a cluster that setting names a shared folder and is used as is; a cluster session
+    without it is an error.  Only a local session (tests) without it gets a fresh scratch
+    folder.
     """
     current = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if current:
         if not spark.sparkContext.getCheckpointDir():
             spark.sparkContext.setCheckpointDir(current)
         return current
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir is not set: name a shared folder for checkpoints "
+                         "(a machine-local folder is not reachable from other executors)")
     path = tempfile.mkdtemp(prefix="rf-ckpt-", dir=os.environ.get("RF_SCRATCH", "/tmp"))
     spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

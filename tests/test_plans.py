@@ -198,3 +198,26 @@ def test_aqe_splits_hot_key_in_link(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_cluster_session_needs_a_shared_checkpoint_dir(monkeypatch):
+    import pytest
+
+    from recordforge import session
+
+    class FakeContext:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class FakeConf:
+        def get(self, key, default=None):
+            return default
+
+    class FakeSession:
+        sparkContext = FakeContext()
+        conf = FakeConf()
+
+    with pytest.raises(ValueError):
+        session.ensure_checkpoint_dir(FakeSession())
