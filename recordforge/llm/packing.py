@@ -22,7 +22,9 @@ from __future__ import annotations
 
 import bisect
 import os
+import re
 import zlib
+from array import array
 from collections import defaultdict
 
 import numpy as np
@@ -35,30 +37,58 @@ from recordforge.llm.common import cut, with_rank
 PIECE = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint,ids:binary>>"
 CACHE_WORDS, CACHE_LENGTH = 300_000, 64
 
+#: the tokenizer's own word pattern, over lower-cased text of the characters of ``UNUSUAL``'s complement
+WORD = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
+#: characters whose normal form or class may need more than ``str.lower``: anything but ASCII and the Latin letters up to U+024F
+UNUSUAL = re.compile("[^!-~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u024f]|<\\|")
+
 _tokenizers: dict = {}
 
 
 class WordCache:
-    """Ids of a text, word by word: the tokenizer never joins characters across a blank, so that ids
-    of a text are those of its space-separated parts, and frequent parts are looked up."""
+    """Ids of a text, part by part: the tokenizer never joins characters across a blank, so the ids
+    of a text are those of its space-separated parts, and those of a part are those of its words.
+    Frequent parts and words are looked up; a part with an unusual character goes to the tokenizer."""
 
     def __init__(self, path: str):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
+        self.model = self.tokenizer.model
+        self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.parts: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+
+    def word(self, word: str) -> bytes:
+        found = self.words.get(word)
+        if found is None:
+            letters = word if word.isascii() else self.letters.pre_tokenize_str(word)[0][0]
+            found = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            if len(word) <= CACHE_LENGTH:
+                if len(self.words) >= CACHE_WORDS:
+                    self.words.clear()
+                self.words[word] = found
+        return found
+
+    def part(self, part: str) -> bytes:
+        if UNUSUAL.search(part):
+            found = array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
+        else:
+            found = b"".join(map(self.word, WORD.findall(part.lower())))
+        if len(part) <= CACHE_LENGTH:
+            if len(self.parts) >= CACHE_WORDS:
+                self.parts.clear()
+            self.parts[part] = found
+        return found
 
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        parts = text.replace("\n", " ").split(" ")
-        known = self.known
-        if len(known) > CACHE_WORDS:
-            known.clear()
-        new = list({p for p in parts if p not in known})
-        extra: dict[str, bytes] = {}
-        for part, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)) if new else ():
-            (known if len(part) <= CACHE_LENGTH else extra)[part] = np.array(found.ids, "<u4").tobytes()
-        return b"".join([known[p] if p in known else extra[p] for p in parts])
+        get, part = self.parts.get, self.part
+        out = []
+        for p in text.replace("\n", " ").split(" "):
+            found = get(p)
+            out.append(part(p) if found is None else found)
+        return b"".join(out)
 
 
 def tokenizer_for(path: str) -> WordCache:

@@ -307,3 +307,19 @@ def test_packing_plan_is_exact_and_near_the_bound():
                 at += length
             assert at <= 4096
         assert used <= 1.01 * sum(k * v for k, v in histogram.items()) / 4096 + 1 or n <= 50
+
+
+def test_word_cache_equals_the_tokenizer():
+    from tokenizers import Tokenizer
+    import numpy as np
+
+    tok, cache = Tokenizer.from_file(queries.tokenizer_path()), packing.WordCache(queries.tokenizer_path())
+    rng = random.Random(8)
+    pools = ["abcXYZ '\n", "'s'S't're'LL ve d", "éÉßÄçÑÿ a.", "İıſK²½ª", "\x1c\x1d\x85  　 \t\r\x0b\x0c a",
+             "éä ̈́", "09 _-+/#", "中文\U0001F600ΕΣς ", "<|endoftext|> <|startoftext|", "".join(map(chr, range(32, 592)))]
+    for k in range(4000):
+        pool = pools[k % len(pools)] + rng.choice(pools)
+        text = "".join(rng.choice(pool) for _ in range(rng.randint(0, 60)))
+        if k % 50 == 0:
+            text += " <|endoftext|> x<|startoftext|>y"
+        assert cache.ids(text) == np.array(tok.encode(text, add_special_tokens=False).ids, "<u4").tobytes(), repr(text)
