@@ -40,6 +40,7 @@ from recordforge.llm.common import cut
 
 WORD = re.compile(r"\w+")
 SENTENCE_END = re.compile(r"[.?!][\s\"')]*\s|\n+")
+GROUP = 64  # passages looked up at once: bounds the memory of a very long text
 MATCH = "array<struct<item_id:bigint,score:double,question:double,answer:double,start:bigint,end:bigint>>"
 
 
@@ -62,7 +63,7 @@ class Index:
     """Inverted index of one block of items with impacts scaled so that every item's limit is 1."""
 
     def __init__(self, items: list[tuple], n_items: int, mean_length: float, frequency: dict[str, int],
-                 min_score: float, shingle: int, block_items: int = 16, k1: float = 1.2, b: float = 0.75):
+                 min_score: float, shingle: int, block_items: int = 4, k1: float = 1.2, b: float = 0.75):
         self.shingle, self.items = shingle, []
         self.vocabulary: dict[str, int] = {}
         postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
@@ -84,39 +85,37 @@ class Index:
             for w, x in impact.items():
                 postings[self.vocabulary.setdefault(w, len(self.vocabulary))].append((at, x / limit))
             self.items.append((item_id, shingles(q, min(shingle, max(2, len(q) // 4))), shingles(a, 1), len(words)))
-        self.lengths = [len(q) for _, q, _, _ in self.items]
         self.longest = max((x[3] for x in self.items), default=0)
         n_terms = len(self.vocabulary)
         self.n_blocks = -(-len(self.items) // block_items)
         self.block_items = block_items
-        self.item_of, self.impact, self.block_of, self.block_max = [], [], [], []
         self.bound = np.zeros(n_terms + 1)  # the last: words outside the index
+        blocks_of, items_of = [], []
         for t in range(n_terms):
             at = np.array([p[0] for p in postings[t]], np.int64)
             x = np.array([p[1] for p in postings[t]])
             blocks, where = np.unique(at // block_items, return_inverse=True)
             most = np.zeros(len(blocks))
             np.maximum.at(most, where, x)
-            self.item_of.append(at)
-            self.impact.append(x)
-            self.block_of.append(blocks)
-            self.block_max.append(most)
+            blocks_of.append((blocks, most))
+            items_of.append((at, x))
             self.bound[t] = x.max()
-
-    def retrieve(self, terms: list[int]) -> list[tuple[int, float]]:
-        """(item position, score) of every item that reaches its limit, for distinct ``terms``."""
-        if self.bound[terms].sum() < 1 - 1e-9:
-            return []
-        blocks = np.bincount(np.concatenate([self.block_of[t] for t in terms]),
-                             np.concatenate([self.block_max[t] for t in terms]), self.n_blocks)
-        live = blocks >= 1 - 1e-9
-        if not live.any():
-            return []
-        items = np.concatenate([self.item_of[t] for t in terms])
-        impact = np.concatenate([self.impact[t] for t in terms])
-        keep = live[items // self.block_items]
-        scores = np.bincount(items[keep], impact[keep], len(self.items))
-        return [(int(i), float(scores[i])) for i in np.flatnonzero(scores >= 1 - 1e-9)]
+        self.blocks, self.postings = _Lists(blocks_of), _Lists(items_of)
+
+    def live_blocks(self, window: np.ndarray, term: np.ndarray, n_windows: int) -> np.ndarray:
+        """(window, block) pairs whose bounds reach the limit, as a boolean matrix."""
+        bounds = np.bincount(window, self.bound[term], n_windows)
+        able = bounds[window] >= 1 - 1e-9  # WAND: the others cannot reach the limit in any block
+        at, block, most = self.blocks.gather(term[able])
+        sums = np.bincount(window[able][at] * self.n_blocks + block, most, n_windows * self.n_blocks)
+        return sums.reshape(n_windows, self.n_blocks) >= 1 - 1e-9
+
+    def scores(self, terms: np.ndarray, live: np.ndarray) -> list[tuple[int, float]]:
+        """(item position, score) of the items of live blocks that reach their limit, for distinct ``terms``."""
+        _, item, impact = self.postings.gather(terms)
+        keep = live[item // self.block_items]
+        sums = np.bincount(item[keep], impact[keep], len(self.items))
+        return [(int(i), float(sums[i])) for i in np.flatnonzero(sums >= 1 - 1e-9)]
 
     def matches(self, text: str | None, min_question: float, min_answer: float, min_stride: int = 32) -> list[tuple]:
         """Verified matches of a whole text: per item the best passage (item_id, score, question, answer, start, end)."""
@@ -126,32 +125,53 @@ class Index:
         terms = np.fromiter((get(w, outside) for w in words), np.int64, len(words))
         # any run of ``stride`` words lies whole in one passage of two strides
         stride = max(min_stride, self.longest)
-        starts = np.arange(0, max(1, len(words) - stride), stride)
-        sums = np.concatenate(([0.0], np.cumsum(self.bound[terms])))
-        ends = np.minimum(starts + 2 * stride, len(words))
+        n_passages = max(1, -(-(len(words) - stride) // stride))
         best: dict[int, tuple] = {}
-        for start, end in zip(starts.tolist(), ends.tolist()):
-            if sums[end] - sums[start] < 1 - 1e-6:
-                continue
-            distinct = np.unique(terms[start:end])
-            found = self.retrieve(distinct[distinct < outside].tolist()) if distinct[0] < outside else []
-            if not found:
-                continue
-            passage = words[start:end]
-            vocabulary, by_size = set(passage), {}
-            for at, score in found:
-                item_id, question, answer, _ = self.items[at]
-                size = len(next(iter(question))) if question else 0
-                if size not in by_size:
-                    by_size[size] = shingles(passage, size)
-                q = len(question & by_size[size]) / len(question) if question else 1.0
-                a = sum(w[0] in vocabulary for w in answer) / len(answer) if answer else 1.0
-                if q >= min_question and a >= min_answer:
-                    row = (item_id, score, q, a, start, end)
-                    if at not in best or (q, a, score) > (best[at][2], best[at][3], best[at][1]):
-                        best[at] = row
+        for first in range(0, n_passages, GROUP):
+            many = min(GROUP, n_passages - first)
+            part = terms[first * stride:(first + many + 1) * stride]
+            place = np.flatnonzero(part < outside)
+            chunk = place // stride  # a chunk is the first half of its passage and the second of the one before
+            pairs = np.unique(np.concatenate([(c * (outside + 1) + part[place])[(c >= 0) & (c < many)] for c in (chunk, chunk - 1)]))
+            window, term = pairs // (outside + 1), pairs % (outside + 1)
+            live = self.live_blocks(window, term, many)
+            for k in np.flatnonzero(live.any(axis=1)).tolist():
+                found = self.scores(term[window == k], live[k])
+                if found:
+                    start = (first + k) * stride
+                    self.verify(words[start:start + 2 * stride], start, found, min_question, min_answer, best)
         return [best[at] for at in sorted(best)]
 
+    def verify(self, passage: list[str], start: int, found: list[tuple[int, float]], min_question: float, min_answer: float,
+               best: dict[int, tuple]) -> None:
+        """Adds the found items whose question and answer stand in the passage, if better than before."""
+        vocabulary, by_size = set(passage), {}
+        for at, score in found:
+            item_id, question, answer, _ = self.items[at]
+            size = len(next(iter(question))) if question else 0
+            if size not in by_size:
+                by_size[size] = shingles(passage, size)
+            q = len(question & by_size[size]) / len(question) if question else 1.0
+            a = sum(w[0] in vocabulary for w in answer) / len(answer) if answer else 1.0
+            if q >= min_question and a >= min_answer and (at not in best or (q, a, score) > (best[at][2], best[at][3], best[at][1])):
+                best[at] = (item_id, score, q, a, start, start + len(passage))
+
+
+class _Lists:
+    """Lists of (number, weight) per term, end to end."""
+
+    def __init__(self, lists: list[tuple[np.ndarray, np.ndarray]]):
+        self.start = np.concatenate(([0], np.cumsum([len(x) for x, _ in lists]))).astype(np.int64)
+        self.number = np.concatenate([np.empty(0, np.int64), *[x for x, _ in lists]])
+        self.weight = np.concatenate([np.empty(0), *[w for _, w in lists]])
+
+    def gather(self, terms: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The lists of ``terms`` end to end: place in ``terms``, number, weight."""
+        size = self.start[terms + 1] - self.start[terms]
+        at = np.repeat(np.arange(len(terms)), size)
+        entry = np.arange(len(at)) - np.repeat(np.cumsum(size) - size - self.start[terms], size)
+        return at, self.number[entry], self.weight[entry]
+
 
 def _matches_column(text: Column, index, min_question: float, min_answer: float) -> Column:
     @F.pandas_udf(MATCH)
