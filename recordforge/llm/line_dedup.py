@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from recordforge.llm.common import hash128, line_key
+from recordforge.llm.common import cut, hash128, line_key
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -31,9 +31,10 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .select("__id", "__text", "__pos", *[h.alias(n) for h, n in zip(hash128(F.col("__key")), ("__h1", "__h2"))]))
     # count(distinct) aggregates by (hash, id) first, so a line of a third of all documents is
     # spread over all tasks and only partial counts meet
-    frequent = (lines.groupBy("__h1", "__h2")
-                .agg(F.count_distinct("__id").alias("__n"), F.max("__id").alias("__keeper"))
-                .where(F.col("__n") >= min_docs).drop("__n"))
+    # and written, so that the join below may split a frequent hash or broadcast the measured table
+    frequent = cut(lines.groupBy("__h1", "__h2")
+                   .agg(F.count_distinct("__id").alias("__n"), F.max("__id").alias("__keeper"))
+                   .where(F.col("__n") >= min_docs).drop("__n"), "frequent")
     drops = (lines.join(frequent, ["__h1", "__h2"]).where(F.col("__id") != F.col("__keeper"))
              .groupBy("__id", "__text").agg(F.collect_set("__pos").alias("__drop")))
     # the input row travels as one struct, so its column names cannot clash
