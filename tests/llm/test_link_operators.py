@@ -73,7 +73,7 @@ def test_links_are_complete_for_dense_and_chained_fingerprints(spark):
         prints.add(chain)
     prints = sorted(prints)
     signed = [p - (1 << 64) if p >> 63 else p for p in prints]
-    nodes = spark.createDataFrame([(p,) for p in signed], "__fp long")
+    nodes = spark.createDataFrame([(p, 1 + k % 3) for k, p in enumerate(signed)], "__fp long, __docs long")
     got = defaultdict(set)
     for r in simhash.link_fingerprints(nodes).collect():
         got[r["__root"]].add(r["__fp"] % (1 << 64))
