@@ -35,12 +35,12 @@ from pyspark.sql import functions as F
 from recordforge.llm.common import cut, with_rank
 
 PIECE = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint,ids:binary>>"
-CACHE_WORDS, CACHE_LENGTH = 300_000, 64
+CACHE_PARTS, CACHE_WORDS, CACHE_LENGTH = 400_000, 200_000, 64  # under 300 MB a worker with both generations full
 
 #: the tokenizer's own word pattern, over lower-cased text of the characters of ``UNUSUAL``'s complement
 WORD = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: characters whose normal form or class may need more than ``str.lower``: anything but ASCII and the Latin letters up to U+024F
-UNUSUAL = re.compile("[^!-~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u024f]|<\\|")
+UNUSUAL = re.compile("[^ -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u024f]|<\\|")
 
 _tokenizers: dict = {}
 
@@ -56,39 +56,48 @@ class WordCache:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        # two generations each: a full one becomes the old one, so that frequent entries survive
         self.parts: dict[str, bytes] = {}
+        self.old_parts: dict[str, bytes] = {}
         self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
 
     def word(self, word: str) -> bytes:
         found = self.words.get(word)
         if found is None:
-            letters = word if word.isascii() else self.letters.pre_tokenize_str(word)[0][0]
-            found = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
+            found = self.old_words.get(word)
+            if found is None:
+                letters = word if word.isascii() else self.letters.pre_tokenize_str(word)[0][0]
+                found = array("I", [t.id for t in self.model.tokenize(letters)]).tobytes()
             if len(word) <= CACHE_LENGTH:
                 if len(self.words) >= CACHE_WORDS:
-                    self.words.clear()
+                    self.old_words, self.words = self.words, {}
                 self.words[word] = found
         return found
 
     def part(self, part: str) -> bytes:
-        if UNUSUAL.search(part):
-            found = array("I", self.tokenizer.encode(part, add_special_tokens=False).ids).tobytes()
-        else:
-            found = b"".join(map(self.word, WORD.findall(part.lower())))
+        """Ids of a part of lower-cased usual characters."""
+        found = self.old_parts.get(part)
+        if found is None:
+            get, word = self.words.get, self.word
+            found = b"".join([get(w) or word(w) for w in WORD.findall(part)])
         if len(part) <= CACHE_LENGTH:
-            if len(self.parts) >= CACHE_WORDS:
-                self.parts.clear()
+            if len(self.parts) >= CACHE_PARTS:
+                self.old_parts, self.parts = self.parts, {}
             self.parts[part] = found
         return found
 
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
-        get, part = self.parts.get, self.part
-        out = []
-        for p in text.replace("\n", " ").split(" "):
-            found = get(p)
-            out.append(part(p) if found is None else found)
-        return b"".join(out)
+        text = text.replace("\n", " ")
+        if UNUSUAL.search(text):  # part by part: only the unusual ones need the whole tokenizer
+            return b"".join([array("I", self.tokenizer.encode(p, add_special_tokens=False).ids).tobytes() if UNUSUAL.search(p)
+                             else self.part(p.lower()) for p in text.split(" ")])
+        parts = text.lower().split(" ")
+        found = list(map(self.parts.get, parts))
+        if None in found:
+            found = [self.part(p) if f is None else f for p, f in zip(parts, found)]
+        return b"".join(found)
 
 
 def tokenizer_for(path: str) -> WordCache:
