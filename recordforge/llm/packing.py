@@ -26,6 +26,7 @@ import re
 import zlib
 from array import array
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -35,15 +36,13 @@ from pyspark.sql import functions as F
 from recordforge.llm.common import cut, with_rank
 
 PIECE = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint,ids:binary>>"
-CACHE_PARTS, CACHE_WORDS, CACHE_LENGTH = 400_000, 200_000, 64  # under 300 MB a worker with both generations full
+CACHE_PARTS, CACHE_WORDS, CACHE_LENGTH = 200_000, 100_000, 64  # under 150 MB a task with both generations full
 
 #: the tokenizer's own word pattern, over lower-cased text of the characters of ``UNUSUAL``'s complement
 WORD = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 #: characters whose normal form or class may need more than ``str.lower``: anything but ASCII and the Latin letters up to U+024F
 UNUSUAL = re.compile("[^ -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u024f]|<\\|")
 
-_tokenizers: dict = {}
-
 
 class WordCache:
     """Ids of a text, part by part: the tokenizer never joins characters across a blank, so the ids
@@ -100,13 +99,6 @@ class WordCache:
         return b"".join(found)
 
 
-def tokenizer_for(path: str) -> WordCache:
-    if path not in _tokenizers:
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
-        _tokenizers[path] = WordCache(path)
-    return _tokenizers[path]
-
-
 def pieces_of(ids: bytes, capacity: int, keep_ids: bool) -> list[tuple]:
     out = []
     for k, at in enumerate(range(0, len(ids), 4 * capacity)):
@@ -119,9 +111,11 @@ def pieces_column(text: Column, tokenizer_path: str, capacity: int, end_id: int,
     end = np.array([end_id], "<u4").tobytes()
 
     @F.pandas_udf(PIECE)
-    def tokenize(texts: pd.Series) -> pd.Series:
-        words = tokenizer_for(tokenizer_path)
-        return pd.Series([pieces_of((words.ids(t) if t else b"") + end, capacity, keep_ids) for t in texts])
+    def tokenize(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs one task per core already
+        words = WordCache(tokenizer_path)  # per task, so that a reused worker holds no cache in between
+        for texts in batches:
+            yield pd.Series([pieces_of((words.ids(t) if t else b"") + end, capacity, keep_ids) for t in texts])
 
     return tokenize(text)
 
