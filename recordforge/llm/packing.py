@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 from recordforge.llm.common import cut, with_rank
 
 PIECE = "array<struct<piece:int,start:bigint,length:bigint,ids_crc32:bigint,ids:binary>>"
-CACHE_PARTS, CACHE_WORDS, CACHE_LENGTH = 200_000, 100_000, 64  # under 150 MB a task with both generations full
+CACHE_PARTS, CACHE_WORDS, CACHE_LENGTH = 400_000, 200_000, 64  # under 300 MB a task with both generations full
 
 #: the tokenizer's own word pattern, over lower-cased text of the characters of ``UNUSUAL``'s complement
 WORD = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
@@ -44,6 +44,9 @@ WORD = re.compile(r"'(?:s|t|re|ve|m|ll|d)|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 UNUSUAL = re.compile("[^ -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u0131-\u024f]|<\\|")
 
 
+_tokenizers: dict = {}
+
+
 class WordCache:
     """Ids of a text, part by part: the tokenizer never joins characters across a blank, so the ids
     of a text are those of its space-separated parts, and those of a part are those of its words.
@@ -52,7 +55,9 @@ class WordCache:
     def __init__(self, path: str):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
+        if path not in _tokenizers:  # the bare tokenizer stays with the worker
+            _tokenizers[path] = Tokenizer.from_file(path)
+        self.tokenizer = _tokenizers[path]
         self.model = self.tokenizer.model
         self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         # two generations each: a full one becomes the old one, so that frequent entries survive
