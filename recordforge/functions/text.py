@@ -121,10 +121,9 @@ def yes_flag(col: Column | str) -> Column:
 def round_half_up(col: Column | str, scale: int = 2) -> Column:
     """ROUND(x, scale) on a double, half away from zero on its decimal text.
 
-    Rounding via a decimal gives the same answer on every engine (a double like 1.005 is
-    stored as 1.00499..., and engines disagree on rounding it directly).
+    One rounding step on the number's shortest decimal text, for values of any size.
     """
-    return F.round(_c(col).cast("decimal(18,6)"), scale).cast("double")
+    return F.round(_c(col).cast("double"), scale)
 
 
 def year_boundaries_between(start: Column | str, end: Column | str) -> Column:

@@ -19,8 +19,6 @@ from pyspark.sql import functions as F
 
 from recordforge.operators.dedup import first_per_key
 
-NULL_SPREAD = 64
-
 
 def link_to_first(left: DataFrame, right: DataFrame, keys: Sequence[str], order_by: str,
                   right_unique: bool = False, salt_buckets: int = 0) -> DataFrame:
@@ -44,20 +42,20 @@ def link_to_first(left: DataFrame, right: DataFrame, keys: Sequence[str], order_
 
 
 def left_join_spread_nulls(left: DataFrame, right: DataFrame, left_keys: Sequence[str],
-                           right_keys: Sequence[str], spread: int = NULL_SPREAD) -> DataFrame:
-    """Left outer equi-join; left rows with a null key are spread over ``spread`` shuffle buckets.
+                           right_keys: Sequence[str]) -> DataFrame:
+    """Left outer equi-join; left rows with a null key are spread over all shuffle partitions.
 
     A null key never matches, but hash partitioning sends every null-key row to one reducer.
-    An extra join key, 0 on both sides for keyed rows and a hash bucket in 1..spread for
-    null-key rows, keeps the result identical while spreading those rows.
+    An extra join key, 0 on both sides for keyed rows and the row's content hash for null-key
+    rows, keeps the result identical while spreading those rows as wide as the shuffle is.
     """
     any_null = F.lit(False)
     for k in left_keys:
         any_null = any_null | F.col(k).isNull()
-    bucket = (F.abs(F.xxhash64(*[F.col(c) for c in left.columns])) % spread + 1).cast("int")
+    bucket = F.xxhash64(*[F.col(c) for c in left.columns])
     lsalt = "_null_bucket"
-    l2 = left.withColumn(lsalt, F.when(any_null, bucket).otherwise(F.lit(0)))
+    l2 = left.withColumn(lsalt, F.when(any_null, bucket).otherwise(F.lit(0).cast("long")))
     # the right side's 0 is computed from a column so that it is not constant-folded into a filter
-    r2 = right.withColumn("_r_bucket", (F.length(F.col(right_keys[0])) * 0).cast("int"))
+    r2 = right.withColumn("_r_bucket", (F.length(F.col(right_keys[0])) * 0).cast("long"))
     cond = [l2[lk] == r2[rk] for lk, rk in zip(left_keys, right_keys)] + [l2[lsalt] == r2["_r_bucket"]]
     return l2.join(r2, on=cond, how="left").drop(lsalt, "_r_bucket")

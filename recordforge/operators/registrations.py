@@ -102,14 +102,21 @@ def registry_branch(spec: RegistrySpec, sources: Mapping[str, DataFrame], apply_
     return out.distinct() if (spec.distinct and apply_distinct) else out
 
 
-def merge_registrations(sources: Mapping[str, DataFrame], specs: tuple[RegistrySpec, ...] = REGISTRY_SPECS) -> DataFrame:
-    """Corporate_Registrations_Merged = UNION ALL of every available state branch.
+def merge_registrations(sources: Mapping[str, DataFrame], specs: tuple[RegistrySpec, ...] = REGISTRY_SPECS,
+                        states: tuple[str, ...] | None = None) -> DataFrame:
+    """Corporate_Registrations_Merged = UNION ALL of the state branches (all, or the ``states`` named).
+
+    A missing source raises.
 
     Every branch carries its own state literal, so no row of one branch equals a row of
     another: DISTINCT per branch equals one DISTINCT over the union of the distinct branches.
     That is one aggregate and one shuffle instead of one per state.
     """
-    usable = [s for s in specs if all(n in sources for n in s.sources)]
+    usable = [s for s in specs if states is None or s.state in states]
+    missing = sorted({n for s in usable for n in s.sources if n not in sources}
+                     | {f"state {x}" for x in states or () if x not in {s.state for s in specs}})
+    if missing:
+        raise ValueError(f"registry sources missing: {', '.join(missing)}; name the states to merge a subset")
     union = lambda frames: reduce(lambda a, b: a.unionByName(b), frames)
     deduped = [registry_branch(s, sources, apply_distinct=False) for s in usable if s.distinct]
     kept = [registry_branch(s, sources) for s in usable if not s.distinct]

@@ -32,7 +32,6 @@ from recordforge.operators.repair import (
 from recordforge.operators.wages import merge_geography, merge_wages
 from recordforge.plans import analytics as va
 from recordforge.sources import fixtures as fx
-from recordforge.sources.fixtures import memoized
 
 AS_OF = dt.date(2018, 12, 31)
 EMPLOYER_KEY = ["employer_name", "employer_city"]
@@ -52,22 +51,18 @@ def yearly(spark: SparkSession, sf: str):
 
 # -- staging -----------------------------------------------------------------------------
 
-@memoized
 def employer_temp(spark: SparkSession, sf: str) -> DataFrame:
     return stg.employer_staging(yearly(spark, sf))
 
 
-@memoized
 def job_temp(spark: SparkSession, sf: str) -> DataFrame:
     return stg.job_staging(yearly(spark, sf))
 
 
-@memoized
 def attorney(spark: SparkSession, sf: str) -> DataFrame:
     return stg.attorney_dim(yearly(spark, sf))
 
 
-@memoized
 def application_temp(spark: SparkSession, sf: str) -> DataFrame:
     y = yearly(spark, sf)
     return stg.application_staging(y, stg.attorney_dim(y))
@@ -75,17 +70,14 @@ def application_temp(spark: SparkSession, sf: str) -> DataFrame:
 
 # -- employers -----------------------------------------------------------------------------
 
-@memoized
 def employer_repaired(spark: SparkSession, sf: str) -> DataFrame:
     return repair_employers(employer_temp(spark, sf))[0]
 
 
-@memoized
 def employer_rejects(spark: SparkSession, sf: str) -> DataFrame:
     return repair_employers(employer_temp(spark, sf))[1]
 
 
-@memoized
 def employer(spark: SparkSession, sf: str) -> DataFrame:
     """Employer: repaired rows, one per (name, city), the smallest employer_id winning."""
     return first_per_key(employer_repaired(spark, sf), EMPLOYER_KEY, "employer_id")
@@ -107,7 +99,6 @@ def job_repaired(jobs: DataFrame) -> DataFrame:
     return repair_wage_fields(repair_soc(repair_worksite(jobs)))
 
 
-@memoized
 def job(spark: SparkSession, sf: str, employers: DataFrame | None = None) -> DataFrame:
     """Job: cleaned jobs linked to their employer's id."""
     emp = (employers if employers is not None else employer(spark, sf)).select("employer_id", *EMPLOYER_KEY)
@@ -115,7 +106,6 @@ def job(spark: SparkSession, sf: str, employers: DataFrame | None = None) -> Dat
     return link_to_first(jobs, emp, EMPLOYER_KEY, "employer_id", right_unique=True).select(*JOB_OUTPUT)
 
 
-@memoized
 def application(spark: SparkSession, sf: str, employers: DataFrame | None = None) -> DataFrame:
     """Application: applications linked to their employer's id."""
     emp = (employers if employers is not None else employer(spark, sf)).select("employer_id", *EMPLOYER_KEY)
@@ -125,41 +115,38 @@ def application(spark: SparkSession, sf: str, employers: DataFrame | None = None
 
 # -- registrations, wages, geography -------------------------------------------------------
 
-@memoized
 def registrations_merged(spark: SparkSession, sf: str) -> DataFrame:
     return merge_registrations(fx.registry_sources(spark, sf))
 
 
-@memoized
 def registrations_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return clean_registrations(registrations_merged(spark, sf))
 
 
-@memoized
 def wages(spark: SparkSession, sf: str) -> DataFrame:
     return merge_wages(fx.yearly_wages(spark, sf))
 
 
-@memoized
 def geography(spark: SparkSession, sf: str) -> DataFrame:
     return merge_geography(fx.yearly_geography(spark, sf))
 
 
 # -- views -----------------------------------------------------------------------------------
 
-@memoized
 def tech_jobs(spark: SparkSession, sf: str) -> DataFrame:
     return va.tech_jobs(job(spark, sf))
 
 
-@memoized
 def tech_job_keys(spark: SparkSession, sf: str) -> DataFrame:
-    """(employer_name, employer_city) of every repaired job row with a tech occupation."""
+    """(employer_name, employer_city) pairs of repaired job rows with a tech occupation.
+
+    Distinct before the semi join: an existence test needs a key once, and the aggregate combines a
+    hot employer's rows before the shuffle.
+    """
     jobs = job_repaired(with_link_key(job_temp(spark, sf)))
-    return va.tech_jobs(jobs).select(*EMPLOYER_KEY)
+    return va.tech_jobs(jobs).select(*EMPLOYER_KEY).distinct()
 
 
-@memoized
 def tech_employers(spark: SparkSession, sf: str) -> DataFrame:
     """V2 with the Employer plan used once.
 
@@ -171,26 +158,21 @@ def tech_employers(spark: SparkSession, sf: str) -> DataFrame:
     return va.tech_employers_13_states_by_key(employer(spark, sf), tech_job_keys(spark, sf), EMPLOYER_KEY)
 
 
-@memoized
 def tech_employer_age(spark: SparkSession, sf: str, as_of: dt.date = AS_OF) -> DataFrame:
     return va.tech_employer_age(tech_employers(spark, sf), registrations_cleaned(spark, sf), as_of)
 
 
-@memoized
 def employer_age_label(spark: SparkSession, sf: str, as_of: dt.date = AS_OF) -> DataFrame:
     return va.employer_age_label(tech_employer_age(spark, sf, as_of))
 
 
-@memoized
 def employer_age_report(spark: SparkSession, sf: str, as_of: dt.date = AS_OF) -> DataFrame:
     return va.employer_age_report(employer_age_label(spark, sf, as_of))
 
 
-@memoized
 def salary_comparison(spark: SparkSession, sf: str) -> DataFrame:
     return va.salary_comparison(tech_jobs(spark, sf), geography(spark, sf), wages(spark, sf))
 
 
-@memoized
 def salary_delta_by_occupation(spark: SparkSession, sf: str) -> DataFrame:
     return va.salary_delta_by_occupation(salary_comparison(spark, sf))

@@ -63,8 +63,14 @@ NEW_ATTORNEY = _schema(
     "agent_attorney_state:STRING")
 
 
-def conform(df: DataFrame, schema: StructType) -> DataFrame:
-    """Select the schema's columns by name, cast to its types; a missing column becomes null."""
+def conform(df: DataFrame, schema: StructType, optional: tuple[str, ...] = ()) -> DataFrame:
+    """Select the schema's columns by name, cast to its types.
+
+    A missing column raises, unless it is named in ``optional``: then it is null.
+    """
+    missing = [f.name for f in schema.fields if f.name not in df.columns and f.name not in optional]
+    if missing:
+        raise ValueError(f"columns missing: {', '.join(missing)}")
     cols = []
     for f in schema.fields:
         c = F.col(f.name) if f.name in df.columns else F.lit(None)

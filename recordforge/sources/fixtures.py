@@ -13,8 +13,6 @@ w = floor(o_totalprice / 5), ST(x) = two-letter state number x % 15 of STATE_COD
 
 from __future__ import annotations
 
-import functools
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,55 +32,9 @@ NAME_SUFFIXES = (", INC.", " LLC", " CORPORATION", " CORP.", " LTD", " (USA) LP"
 USA = "UNITED STATES OF AMERICA"
 
 
-def _fresh(value):
-    if isinstance(value, DataFrame):
-        return value.select("*")
-    if isinstance(value, dict):
-        return {k: _fresh(v) for k, v in value.items()}
-    if isinstance(value, tuple):
-        return tuple(_fresh(v) for v in value)
-    return value
-
-
-def memoized(fn):
-    """Build a plan once per (session, folder, args) and hand out fresh wrappers of it.
-
-    DataFrames are immutable lazy plans, so the expensive driver-side construction (hundreds
-    of expression calls) is done once.  The cached object itself is never executed: each call
-    returns ``select("*")`` over it (a no-op projection that Catalyst removes), so an executed
-    plan - with its shuffle files and broadcast data - belongs to the caller and is released
-    with it, never pinned by the cache.
-    """
-    cached = functools.lru_cache(maxsize=64)(fn)
-
-    @functools.wraps(fn)
-    def wrapper(*args, **kwargs):
-        return _fresh(cached(*args, **kwargs))
-
-    wrapper.cache_clear = cached.cache_clear
-    return wrapper
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
-    """One driver table; with ``spread`` it is spread over the cores when its scan has too few splits."""
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return spread_small_input(df) if spread else df
-
-
-def spread_small_input(df: DataFrame) -> DataFrame:
-    """Round-robin repartition to the default parallelism, only when the scan has fewer splits.
-
-    A small file that is one parquet row group is one split, so every CPU-bound row
-    expression above it would run in one task.  The check reads planning metadata only (no
-    job); on a large input the scan already has more splits than cores and is returned as is,
-    so no shuffle is added at scale.
-    """
-    try:
-        target = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a remote session): leave the scan as is
-        return df
-    return df if splits >= target else df.repartition(target)
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One driver table; read anew on every call, so that a plan always sees the files present now."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def state_code(x: Column) -> Column:
@@ -105,10 +57,9 @@ def _s(x: Column) -> Column:
 # Applications (one row per order), then the four yearly tables with their schema drift.
 # --------------------------------------------------------------------------------------
 
-@memoized
-def applications_base(spark: SparkSession, sf_dir: str, spread: bool = False) -> DataFrame:
+def applications_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All application fields in clean types, one row per order (before year drift)."""
-    o = table(spark, sf_dir, "orders", spread).select("o_orderkey", "o_custkey", "o_totalprice")
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
     k, c = F.col("k"), F.col("c")
     b = F.expr("c div 3")
     i = b % 25
@@ -185,7 +136,6 @@ def applications_base(spark: SparkSession, sf_dir: str, spread: bool = False) ->
     )
 
 
-@memoized
 def yearly_applications(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     """The four yearly application tables, each with its own column names and types."""
     a = applications_base(spark, sf_dir)
@@ -283,7 +233,6 @@ def _areas_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@memoized
 def yearly_wages(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     """All_Industries_Wages_{year}: Area, SocCode, Average (hourly, annual or junk averages)."""
     socs = F.array(*[F.lit(j) for j in range(len(SOC_NAMES))])
@@ -301,7 +250,6 @@ def yearly_wages(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     return {y: w.filter(F.col("yr") == y).drop("yr") for y in YEARS}
 
 
-@memoized
 def yearly_geography(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
     """Geography_{year}: Area, StateAb, CountyTownName."""
     g = _areas_by_year(spark, sf_dir).select(
@@ -316,7 +264,6 @@ def yearly_geography(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
 # Company registrations: one row per customer, then 13 state-shaped sources.
 # --------------------------------------------------------------------------------------
 
-@memoized
 def registrations_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     cust = table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("c"))
     c = F.col("c")
@@ -349,7 +296,6 @@ def registrations_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@memoized
 def registry_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """The registries of the 13 states, each with its own column names (GA, MN, MO in two parts)."""
     r = registrations_base(spark, sf_dir)
@@ -443,10 +389,9 @@ def _us_date(d: Column, padded: bool) -> Column:
     return F.concat_ws("/", _s(F.month(d)), _s(F.dayofmonth(d)), _s(F.year(d)))
 
 
-@memoized
 def extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``value`` line per application: 52 tab-separated fields, 41 when k % 3 = 0, 40 when k % 83 = 0."""
-    a = applications_base(spark, sf_dir, spread=True)  # CPU-heavy line building: use every core
+    a = applications_base(spark, sf_dir)  # CPU-heavy line building: use every core
     k, c = F.col("k"), F.col("c")
     n = F.col("w").cast("bigint")
     wage_text = F.when(

@@ -38,13 +38,10 @@ def write_partitioned(df: DataFrame, path: str, partition_by: list[str], sort_by
                       mode: str = "overwrite") -> None:
     """One folder per partition value (pruned at read), files sorted by ``sort_by``.
 
-    Rows are first shuffled by the partition columns so each task writes few files; a hot
-    partition value is still split across 8 tasks by a salt.  The salt is a hash of the row's
-    content, not a random number: a recomputed task (after a lost executor) sends every row
-    to the same place again.
+    Rows are first rebalanced by the partition columns: each task writes few files, and adaptive
+    execution splits a large partition value and merges small ones to its advisory size.
     """
-    salt = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(8))
-    out = df.repartition(*[F.col(c) for c in partition_by], salt)
+    out = df.hint("rebalance", *partition_by)
     if sort_by:
         out = out.sortWithinPartitions(*partition_by, *sort_by)
     out.write.mode(mode).partitionBy(*partition_by).parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from recordforge.plans.catalog import QUERIES
 from recordforge.operators import staging as stg
 from recordforge.plans import tables as t
 from recordforge.sources import fixtures as fx
@@ -78,7 +79,7 @@ def test_nulls_spread_in_left_join(spark):
     from recordforge.operators.link import left_join_spread_nulls
     left = spark.createDataFrame([(i, None if i % 2 else f"n{i % 3}") for i in range(40)], "id int, k string")
     right = spark.createDataFrame([("n0", 1), ("n1", 2)], "k2 string, v int")
-    out = left_join_spread_nulls(left, right, ["k"], ["k2"], spread=4)
+    out = left_join_spread_nulls(left, right, ["k"], ["k2"])
     assert out.count() == 40
     assert out.filter(F.col("v").isNotNull()).count() == len([i for i in range(40) if i % 2 == 0 and i % 3 < 2])
 
@@ -221,3 +222,33 @@ def test_cluster_session_needs_a_shared_checkpoint_dir(monkeypatch):
 
     with pytest.raises(ValueError):
         session.ensure_checkpoint_dir(FakeSession())
+
+
+def test_results_follow_the_files_present_now(spark, scratch):
+    import shutil
+
+    for name in ("orders", "customer"):
+        os.makedirs(os.path.join(scratch, f"{name}.parquet"))
+        shutil.copy(f"{SF_SMALL}/{name}.parquet", os.path.join(scratch, f"{name}.parquet", "a.parquet"))
+    before = QUERIES["valid_applications"](spark, scratch).count()
+    shutil.copy(f"{SF_SMALL}/orders.parquet", os.path.join(scratch, "orders.parquet", "b.parquet"))
+    assert QUERIES["valid_applications"](spark, scratch).count() == 2 * before > 0
+
+
+def test_missing_registry_and_missing_column_raise(spark):
+    import pytest
+
+    from recordforge import schemas
+    from recordforge.operators.registrations import merge_registrations
+
+    with pytest.raises(ValueError):
+        merge_registrations({})
+    with pytest.raises(ValueError):
+        schemas.conform(spark.createDataFrame([("x",)], "case_number string"), schemas.NEW_JOB)
+
+
+def test_rounding_is_one_step_and_takes_large_values(spark):
+    from recordforge.functions.text import round_half_up
+
+    got = [r[0] for r in spark.createDataFrame([(2.0049999996,), (1e15 + 0.5,), (1.005,), (None,)], "x double").select(round_half_up("x")).collect()]
+    assert got == [2.0, 1e15 + 0.5, 1.01, None]
