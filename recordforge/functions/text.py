@@ -19,8 +19,8 @@ ORG_NAME_TOKENS: tuple[str, ...] = (
     " INC", " CORPORATION", " CORP", " LLC", " LIMITED", " LTD", " LP", " PC",
 )
 
-# Characters removed by Python's ``str.strip()`` (ASCII whitespace).
-WHITESPACE = " \t\n\r\x0b\x0c"
+# Characters removed by Python's ``str.strip()`` from ASCII text.
+WHITESPACE = " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f"
 
 
 def _c(col: Column | str) -> Column:
@@ -81,12 +81,12 @@ def is_blank(col: Column | str) -> Column:
     return c.isNull() | (c == F.lit(""))
 
 
-_NUMBER_RE = r"\A\s*[-+]?[0-9]*\.?[0-9]+\s*\z"
+_NUMBER_RE = r"\A\s*[-+]?([0-9]+\.?[0-9]*|\.[0-9]+)([eE][-+]?[0-9]+)?\s*\z"
 _DATE_RE = r"\A[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}"
 
 
 def safe_double(col: Column | str) -> Column:
-    """SAFE_CAST(x AS FLOAT64) over plain decimal numbers; anything else is null."""
+    """SAFE_CAST(x AS FLOAT64) over decimal numbers, with or without exponent; anything else is null."""
     c = _c(col).cast("string")
     return F.when(c.rlike(_NUMBER_RE), c.try_cast("double"))
 
@@ -142,17 +142,19 @@ def rsplit_second(col: Column | str, sep: str = ",", maxsplit: int = 3) -> Colum
 
 
 def text_key(cols: Sequence[Column | str], types: dict[str, str] | None = None) -> Column:
-    """Deterministic surrogate key: md5 over the canonical text of the given columns.
+    """Deterministic surrogate key: md5 over the given columns, different rows having different text.
 
-    Nulls are written as ``\\N``; doubles go through decimal(38,6) so their text has no
-    exponent; the separator is the ASCII unit separator.
+    A value is written as its length, a colon and its text, null as ``N``.  A double is written as its
+    six-decimal text and what is left of it beyond them, so that no two doubles share a text.
     """
     parts = []
     types = types or {}
     for col in cols:
-        name = col if isinstance(col, str) else None
         c = _c(col)
-        if name is not None and types.get(name) == "double":
-            c = c.cast("decimal(38,6)")
-        parts.append(F.coalesce(c.cast("string"), F.lit("\\N")))
-    return F.md5(F.concat_ws("\x1f", *parts))
+        text = c.cast("string")
+        if isinstance(col, str) and types.get(col) == "double":
+            rounded = c.try_cast("decimal(38,6)")
+            rest = c - rounded.cast("double") + F.lit(0.0)
+            text = F.coalesce(F.concat(rounded.cast("string"), F.lit("~"), rest.cast("string")), text)
+        parts.append(F.coalesce(F.concat(F.length(text).cast("string"), F.lit(":"), text), F.lit("N")))
+    return F.md5(F.concat(*parts))

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordforge.functions.text import (
-    is_all_digits,
     normalize_org_name,
     rsplit_second,
     safe_date,
@@ -124,25 +123,33 @@ def merge_registrations(sources: Mapping[str, DataFrame], specs: tuple[RegistryS
     return union(parts)
 
 
+def _with_usable_city(merged: DataFrame) -> DataFrame:
+    """Adds ``_city``: the city to keep, null where the row has no name or no usable city."""
+    state, raw = c("corporation_state"), c("corporation_city")
+    df = merged.withColumn("_city", F.when(c("corporation_name").isNotNull(), F.when(state == "CT", rsplit_second(raw)).otherwise(raw)))
+    city = c("_city")
+    unusable = starts_with_digit(city) | (city == state)
+    parts = F.split(city, F.lit(","), -1)
+    return df.withColumn("_city", F.nullif(
+        F.when(F.length(city) <= 1, city).when(~F.coalesce(unusable, F.lit(False)), F.when(F.size(parts) == 2, F.get(parts, 0)).otherwise(city)),
+        F.lit("")))
+
+
 def clean_registrations(merged: DataFrame) -> DataFrame:
     """Corporate_Registrations_Cleaned."""
-    state = c("corporation_state")
-    df = merged.filter(c("corporation_name").isNotNull() & c("corporation_city").isNotNull())
-    df = df.withColumns({
+    present = merged.filter(c("corporation_name").isNotNull() & c("corporation_city").isNotNull())  # reaches the scans
+    kept = _with_usable_city(present).filter(c("_city").isNotNull())
+    return kept.withColumns({
         "corporation_name": normalize_org_name(c("corporation_name"), upper=True),
-        "corporation_city": F.when(state == "CT", rsplit_second(c("corporation_city"))).otherwise(c("corporation_city")),
-    })
-    city = c("corporation_city")
-    longer = F.length(city) > 1
-    parts = F.split(city, F.lit(","), -1)
-    df = df.withColumn(
-        "corporation_city",
-        F.when(longer & (is_all_digits(city) | starts_with_digit(city) | (city == state)), F.lit(None).cast("string"))
-        .when(longer & (F.size(parts) == 2), F.get(parts, 0))
-        .otherwise(city),
-    )
-    df = df.filter(city.isNotNull() & (F.length(city) > 0))
-    return df.withColumn("corporation_city", F.upper(strip(city))).select(*MERGED_COLUMNS)
+        "corporation_city": F.upper(strip(c("_city"))),
+    }).select(*MERGED_COLUMNS)
+
+
+def registration_rejects(merged: DataFrame) -> DataFrame:
+    """The rows ``clean_registrations`` leaves out, as they came, with a reason."""
+    missing = c("corporation_name").isNull() | c("corporation_city").isNull()
+    return _with_usable_city(merged).filter(c("_city").isNull()).select(
+        *MERGED_COLUMNS, F.when(missing, "no name or no city").otherwise("no city after repair").alias("reject_reason"))
 
 
 def ct_city(address: Column) -> Column:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from recordforge.functions.text import (
     is_all_digits,
     normalize_org_name,
-    safe_double,
+    number_without_commas,
     starts_with_digit,
     strip,
 )
@@ -77,15 +77,11 @@ def repair_employer_fields(df: DataFrame, city_col: str = "_repaired_city") -> D
 
 
 def repair_employers(df: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(accepted rows with a city, rejected rows with a reason).  Both come from one plan."""
-    tmp = "_repaired_city"
-    fixed = repair_employer_fields(df, tmp)
-    accepted = fixed.filter(F.col(tmp).isNotNull()).withColumn("employer_city", F.col(tmp)).drop(tmp)
-    rejected = (
-        fixed.filter(F.col(tmp).isNull())
-        .select("employer_id", "employer_name", "employer_city",
-                F.lit("no city after repair").alias("reject_reason"))
-    )
+    """(accepted rows with a city, rejected input rows as they came, with a reason)."""
+    tmp, before = "_repaired_city", "_before"
+    fixed = repair_employer_fields(df.withColumn(before, F.struct(*df.columns)), tmp)
+    accepted = fixed.filter(F.col(tmp).isNotNull()).withColumn("employer_city", F.col(tmp))
+    rejected = fixed.filter(F.col(tmp).isNull()).select(f"{before}.*", F.lit("no city after repair").alias("reject_reason"))
     return accepted.select(*df.columns), rejected
 
 
@@ -139,12 +135,15 @@ def repair_soc(df: DataFrame) -> DataFrame:
 
 
 def repair_wage_fields(df: DataFrame) -> DataFrame:
-    """A pay unit that starts with a digit is the prevailing wage; a zero 'to' wage is null."""
+    """A pay unit that is a number is the prevailing wage; a zero 'to' wage is null.
+
+    A unit that starts with a digit but is no number (commas aside) stays, and so does the wage.
+    """
     unit = _col("pw_unit_of_pay")
-    is_wage = unit.isNotNull() & starts_with_digit(unit)
+    wage = F.when(starts_with_digit(unit), number_without_commas(unit))
     to = _col("wage_rate_of_pay_to")
     return df.withColumns({
-        "prevailing_wage": F.when(is_wage, safe_double(unit)).otherwise(_col("prevailing_wage")),
-        "pw_unit_of_pay": F.when(is_wage, null_str()).otherwise(unit),
+        "prevailing_wage": F.coalesce(wage, _col("prevailing_wage")),
+        "pw_unit_of_pay": F.when(wage.isNull(), unit),
         "wage_rate_of_pay_to": F.when(to == 0.0, F.lit(None).cast("double")).otherwise(to),
     })

@@ -152,9 +152,14 @@ def aligned_union(yearly: Mapping[int, DataFrame], columns: tuple[str, ...],
     return union_all(frames)
 
 
-def employer_staging(yearly: Mapping[int, DataFrame]) -> DataFrame:
-    """Employer_Temp: distinct valid employers of all years plus ``employer_id``."""
-    rows = aligned_union(yearly, EMPLOYER_COLUMNS, EMPLOYER_ALIGN, valid_employer()).distinct()
+def employer_staging(yearly: Mapping[int, DataFrame], distinct: bool = True) -> DataFrame:
+    """Employer_Temp: distinct valid employers of all years plus ``employer_id``.
+
+    The id is a function of the row, so a consumer that keeps one row per id anyway may take the
+    rows with their repeats (``distinct=False``) and save a shuffle.
+    """
+    rows = aligned_union(yearly, EMPLOYER_COLUMNS, EMPLOYER_ALIGN, valid_employer())
+    rows = rows.distinct() if distinct else rows
     return rows.select(text_key(list(EMPLOYER_COLUMNS)).alias("employer_id"), *EMPLOYER_COLUMNS)
 
 

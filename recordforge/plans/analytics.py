@@ -154,5 +154,10 @@ def present_salary_comparison(comparison: DataFrame) -> DataFrame:
     return comparison.orderBy(F.col("salary_delta").desc(), F.col("job_id"))
 
 
+def present_salary_delta(deltas: DataFrame) -> DataFrame:
+    """O1: occupations by difference, largest first (code and name break ties)."""
+    return deltas.orderBy(F.col("h1b_minus_national_delta").desc(), "soc_code", "soc_name")
+
+
 def present_age_report(report: DataFrame) -> DataFrame:
     return report.orderBy("age_label", "employer_state")

@@ -14,10 +14,6 @@ from pyspark.sql import functions as F
 from recordforge.functions import text as tx
 from recordforge.operators import staging as stg
 from recordforge.operators.extract import (
-    APPLICATION_FIELDS,
-    ATTORNEY_FIELDS,
-    EMPLOYER_FIELDS,
-    JOB_FIELDS,
     parse_lines,
     split_extract,
     typed_records,
@@ -189,6 +185,8 @@ QUERIES: dict[str, Query] = {
     "salary_comparison": t.salary_comparison,
     "salary_comparison_sorted": lambda s, d: va.present_salary_comparison(t.salary_comparison(s, d)),
     "salary_delta_by_occupation": t.salary_delta_by_occupation,
+    "employer_age_report_sorted": lambda s, d: va.present_age_report(t.employer_age_report(s, d)),
+    "salary_delta_by_occupation_sorted": lambda s, d: va.present_salary_delta(t.salary_delta_by_occupation(s, d)),
     # staging
     "staging_align_years": q_staging_align_years,
     "valid_applications": q_valid_applications,
@@ -210,6 +208,8 @@ QUERIES: dict[str, Query] = {
     "worksite_repair": q_worksite_repair,
     "soc_repair": q_soc_repair,
     "wage_field_repair": q_wage_field_repair,
+    "job_rejects": t.job_rejects,
+    "application_rejects": t.application_rejects,
     "job_link_employer": t.job,
     "application_link_employer": t.application,
     # registrations, wages
@@ -217,6 +217,7 @@ QUERIES: dict[str, Query] = {
     "registrations_join_on_filters": q_registrations_join_on_filters,
     "registrations_join_distinct": q_registrations_join_distinct,
     "clean_registrations": t.registrations_cleaned,
+    "registration_rejects": t.registration_rejects,
     "ct_city_extract": q_ct_city_extract,
     "wages_merge": t.wages,
     "geography_merge": t.geography,
@@ -243,10 +244,10 @@ def _oracle() -> dict[str, str]:
     return {
         "tsv_parse": s("tsv_typed", f"SELECT {', '.join(TSV_PARSE_COLUMNS)} FROM tsv_typed"),
         "tsv_rejects": s("tsv_rejects"),
-        "tsv_split_application": s("tsv_typed", f"SELECT {', '.join(APPLICATION_FIELDS)} FROM tsv_typed"),
-        "tsv_split_job": s("tsv_typed", f"SELECT {', '.join(JOB_FIELDS)} FROM tsv_typed"),
-        "tsv_split_employer": s("tsv_typed", f"SELECT {', '.join(EMPLOYER_FIELDS)} FROM tsv_typed"),
-        "tsv_split_attorney": s("tsv_typed", f"SELECT {', '.join(ATTORNEY_FIELDS)} FROM tsv_typed"),
+        "tsv_split_application": s("tsv_typed", f"SELECT {o.EXTRACT_TABLES['application']} FROM tsv_typed"),
+        "tsv_split_job": s("tsv_typed", f"SELECT {o.EXTRACT_TABLES['job']} FROM tsv_typed"),
+        "tsv_split_employer": s("tsv_typed", f"SELECT {o.EXTRACT_TABLES['employer']} FROM tsv_typed"),
+        "tsv_split_attorney": s("tsv_typed", f"SELECT {o.EXTRACT_TABLES['attorney']} FROM tsv_typed"),
         "employer_age_report": s("tech_employer_age_report"),
         "employer_age_label": s("tech_employer_age_label"),
         "tech_employer_age": s("tech_employer_age"),
@@ -265,10 +266,8 @@ def _oracle() -> dict[str, str]:
         "job_staging": s("job_temp"),
         "attorney_dim": s("attorney"),
         "application_staging": s("application_temp"),
-        "application_attorney_left_join": o.with_ctes(["application_rows", "attorney"], """
-            SELECT a.case_number, a.agent_attorney_name, a.agent_attorney_city, t.attorney_id, t.attorney_state
-            FROM application_rows a LEFT OUTER JOIN attorney t
-              ON a.agent_attorney_name = t.attorney_name AND a.agent_attorney_city = t.attorney_city"""),
+        "application_attorney_left_join": s("application_attorney", """
+            SELECT case_number, agent_attorney_name, agent_attorney_city, attorney_id, attorney_state FROM application_attorney"""),
         "surrogate_keys": o.with_ctes(["employer_temp", "job_temp", "attorney"], """
             SELECT 'employer_temp' AS table_name, COUNT(*) AS row_count, COUNT(DISTINCT employer_id) AS distinct_ids FROM employer_temp
             UNION ALL SELECT 'job_temp', COUNT(*), COUNT(DISTINCT job_id) FROM job_temp
@@ -291,10 +290,17 @@ def _oracle() -> dict[str, str]:
             FROM job_temp"""),
         "wage_field_repair": s("job_temp", f"""
             SELECT job_id,
-              CASE WHEN {o.lead('pw_unit_of_pay')} THEN {o.safe_double('pw_unit_of_pay')} ELSE prevailing_wage END AS prevailing_wage,
-              CASE WHEN {o.lead('pw_unit_of_pay')} THEN NULL ELSE pw_unit_of_pay END AS pw_unit_of_pay,
+              coalesce({o.wage_in_unit('pw_unit_of_pay')}, prevailing_wage) AS prevailing_wage,
+              CASE WHEN {o.wage_in_unit('pw_unit_of_pay')} IS NULL THEN pw_unit_of_pay END AS pw_unit_of_pay,
               CASE WHEN wage_rate_of_pay_to = 0 THEN NULL ELSE wage_rate_of_pay_to END AS wage_rate_of_pay_to
             FROM job_temp"""),
+        "job_rejects": s("job_rejects"),
+        "application_rejects": s("application_rejects"),
+        "registration_rejects": s("reg_rejects"),
+        "employer_age_report_sorted": s("tech_employer_age_report",
+                                        "SELECT * FROM tech_employer_age_report ORDER BY age_label, employer_state"),
+        "salary_delta_by_occupation_sorted": s("salary_delta_by_occupation", """
+            SELECT * FROM salary_delta_by_occupation ORDER BY h1b_minus_national_delta DESC, soc_code, soc_name"""),
         "job_link_employer": s("job"),
         "application_link_employer": s("application"),
         "registrations_merge": s("reg_merged"),

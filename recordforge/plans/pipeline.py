@@ -1,8 +1,7 @@
 """Write every target table, in dependency order.
 
-Employer is written first and read back for the two links, so Job and Application start
-from a written table (short lineage; a lost executor re-runs only the link stage).  The
-output folder must be shared storage on a cluster.
+Every table is written once and read back by the steps that use it (short lineage: a lost
+executor re-runs only the step at hand).  The output folder must be shared storage on a cluster.
 """
 
 from __future__ import annotations
@@ -12,52 +11,76 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 
 from recordforge import schemas
+from recordforge.operators import staging as stg
 from recordforge.operators.extract import split_extract
+from recordforge.operators.registrations import clean_registrations, registration_rejects
+from recordforge.operators.repair import repair_employers
 from recordforge.plans import analytics as va
 from recordforge.plans import tables as t
-from recordforge.sources.sinks import audit_stage, run_id, write_bucketed_table, write_partitioned, write_table
+from recordforge.sources.sinks import audit_stage, overwrite_existing, run_id, write_bucketed_table, write_partitioned, write_table
 from recordforge.sources.text_source import read_extract_lines
 
 
 def build_all(spark: SparkSession, sf_dir: str, out_dir: str, audit_dir: str | None = None,
-              as_of: dt.date = t.AS_OF, employer_buckets: int = 0,
-              employer_table: str = "employer_bucketed") -> dict[str, str]:
-    """Build Employer, Job, Application, Attorney, registrations, wages, geography and the report.
+              as_of: dt.date | None = None, employer_buckets: int = 0, employer_table: str = "employer_bucketed",
+              sample_rows: int | None = None, registrations_table: str | None = None) -> dict[str, str]:
+    """Build the staged, cleaned and linked tables, their rejects and the two reports.
 
-    With ``employer_buckets=N`` Employer is written as a catalog table bucketed by its link key
+    Every staged table is written once and read back by its consumers.  Ages are taken at ``as_of``, by default the
+    current date.  ``employer_buckets=N`` writes Employer as a catalog table bucketed by its link key
     (name, city), so the job and the application links read it without shuffling it again.
+    ``sample_rows=N`` cleans and links only the first N rows of every staged table (a development run).
+    ``registrations_table`` names an existing catalog table whose rows the cleaned registrations replace.
+    With ``audit_dir`` every stage is also written there as JSON.
     """
     out = out_dir.rstrip("/")
     run = run_id()
-    paths = {n: f"{out}/{n}" for n in (
-        "employer", "job", "application", "attorney", "registrations_merged", "registrations_cleaned",
-        "wages", "geography", "employer_age_report", "salary_delta_by_occupation")}
-
-    emp_temp = t.employer_temp(spark, sf_dir)
-    audit_stage(emp_temp, audit_dir, run, "employer_temp")
+    paths: dict[str, str] = {}
+
+    def put(name: str, df: DataFrame, schema=None, partition_by: list[str] | None = None, sort_by: list[str] | None = None) -> DataFrame:
+        paths[name] = f"{out}/{name}"
+        if partition_by:
+            write_partitioned(df, paths[name], partition_by, sort_by)
+        else:
+            write_table(df, paths[name], schema)
+        written = spark.read.parquet(paths[name])
+        audit_stage(written, audit_dir, run, name)
+        return written
+
+    def stage(name: str, df: DataFrame, order: list[str]) -> DataFrame:
+        return put(name, df if sample_rows is None else stg.sample_rows(df, sample_rows, order))
+
+    employer_temp = stage("employer_temp", t.employer_temp(spark, sf_dir), ["employer_name", "employer_id"])
+    attorney = put("attorney", t.attorney(spark, sf_dir), schemas.ATTORNEY)
+    job_temp = stage("job_temp", t.job_temp(spark, sf_dir), ["job_title", "job_id"])
+    application_temp = stage("application_temp", stg.application_staging(t.yearly(spark, sf_dir), attorney), ["case_number", "attorney_id"])
+
+    put("employer_rejects", repair_employers(employer_temp)[1])
     if employer_buckets > 0:
-        employer = write_bucketed_table(spark, t.employer(spark, sf_dir), employer_table, paths["employer"],
+        paths["employer"] = f"{out}/employer"
+        employer = write_bucketed_table(spark, t.build_employer(employer_temp), employer_table, paths["employer"],
                                         t.EMPLOYER_KEY, employer_buckets, schemas.EMPLOYER)
+        audit_stage(employer, audit_dir, run, "employer")
     else:
-        write_table(t.employer(spark, sf_dir), paths["employer"], schemas.EMPLOYER)
-        employer = spark.read.parquet(paths["employer"])
-
-    write_table(t.attorney(spark, sf_dir), paths["attorney"], schemas.ATTORNEY)
-    write_table(t.job(spark, sf_dir, employer), paths["job"], schemas.JOB)
-    write_table(t.application(spark, sf_dir, employer), paths["application"], schemas.APPLICATION)
-
-    write_partitioned(t.registrations_merged(spark, sf_dir), paths["registrations_merged"], ["corporation_state"])
-    write_partitioned(t.registrations_cleaned(spark, sf_dir), paths["registrations_cleaned"], ["corporation_state"])
-    write_partitioned(t.wages(spark, sf_dir), paths["wages"], ["year"], ["area", "soc_code"])
-    write_partitioned(t.geography(spark, sf_dir), paths["geography"], ["year"], ["area"])
+        employer = put("employer", t.build_employer(employer_temp), schemas.EMPLOYER)
+    job = put("job", t.job(spark, sf_dir, employer, job_temp), schemas.JOB)
+    put("job_rejects", t.link_rejects(job_temp, employer))
+    put("application", t.application(spark, sf_dir, employer, application_temp), schemas.APPLICATION)
+    put("application_rejects", t.link_rejects(application_temp, employer))
+
+    merged = put("registrations_merged", t.registrations_merged(spark, sf_dir), partition_by=["corporation_state"])
+    regs = put("registrations_cleaned", clean_registrations(merged), partition_by=["corporation_state"])
+    put("registration_rejects", registration_rejects(merged))
+    if registrations_table:
+        overwrite_existing(spark, regs, registrations_table, schemas.REGISTRATIONS)
+    wages = put("wages", t.wages(spark, sf_dir), partition_by=["year"], sort_by=["area", "soc_code"])
+    geography = put("geography", t.geography(spark, sf_dir), partition_by=["year"], sort_by=["area"])
 
-    job = spark.read.parquet(paths["job"])
-    regs = spark.read.parquet(paths["registrations_cleaned"])
     tech = va.tech_jobs(job)
-    ages = va.tech_employer_age(va.tech_employers_13_states(employer, tech), regs, as_of)
-    write_table(va.employer_age_report(va.employer_age_label(ages)), paths["employer_age_report"])
-    comparison = va.salary_comparison(tech, spark.read.parquet(paths["geography"]), spark.read.parquet(paths["wages"]))
-    write_table(va.salary_delta_by_occupation(comparison), paths["salary_delta_by_occupation"])
+    tech_ids = tech.select("employer_id").distinct()  # an existence test needs an id once
+    ages = va.tech_employer_age(va.tech_employers_13_states(employer, tech_ids), regs, as_of)
+    put("employer_age_report", va.employer_age_report(va.employer_age_label(ages)))
+    put("salary_delta_by_occupation", va.salary_delta_by_occupation(va.salary_comparison(tech, geography, wages)))
     return paths
 
 

@@ -1,10 +1,5 @@
 """End-to-end table builds: each function returns the lazy plan of one target table.
 
-Plans are memoised per (session, folder, arguments): a DataFrame is an immutable lazy plan, so
-queries that share a component (Employer, Job, the comparison) get the same object instead of
-rebuilding it through hundreds of driver-side calls.  Nothing is cached in memory; every
-action still runs its whole plan.
-
 Every plan starts from the input adapters (``sources.fixtures``), so its work grows with
 the driver's tables.  ``pipeline.build_all`` writes them in dependency order; here they
 are composed without intermediate writes so Catalyst sees (and prunes) the whole plan.
@@ -21,7 +16,7 @@ from recordforge.functions.text import normalize_org_name
 from recordforge.operators import staging as stg
 from recordforge.operators.dedup import first_per_key
 from recordforge.operators.link import link_to_first
-from recordforge.operators.registrations import clean_registrations, merge_registrations
+from recordforge.operators.registrations import clean_registrations, merge_registrations, registration_rejects as rejected_registrations
 from recordforge.operators.repair import (
     link_city,
     repair_employers,
@@ -80,7 +75,12 @@ def employer_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 def employer(spark: SparkSession, sf: str) -> DataFrame:
     """Employer: repaired rows, one per (name, city), the smallest employer_id winning."""
-    return first_per_key(employer_repaired(spark, sf), EMPLOYER_KEY, "employer_id")
+    return build_employer(stg.employer_staging(yearly(spark, sf), distinct=False))
+
+
+def build_employer(staged: DataFrame) -> DataFrame:
+    """Employer from staged rows, repeated or not: equal rows have equal ids, and one row per key stays."""
+    return first_per_key(repair_employers(staged)[0], EMPLOYER_KEY, "employer_id")
 
 
 # -- jobs and applications -----------------------------------------------------------------
@@ -93,23 +93,43 @@ def with_link_key(df: DataFrame) -> DataFrame:
     }).filter(F.col("employer_city").isNotNull())
 
 
+def link_rejects(staged: DataFrame, employers: DataFrame) -> DataFrame:
+    """Staged jobs or applications that get no employer, as they came, with a reason."""
+    whole = F.struct(*[F.col(x) for x in staged.columns]).alias("_row")
+    keyed = staged.select(whole, normalize_org_name(F.col("employer_name")).alias("employer_name"),
+                          link_city(F.col("employer_city"), F.col("employer_state")).alias("employer_city"))
+    # rows without a city never match: they stay out of the join, where one task would get them all
+    no_city = keyed.filter(F.col("employer_city").isNull()).select("_row.*", F.lit("no city after repair").alias("reject_reason"))
+    unlinked = (keyed.filter(F.col("employer_city").isNotNull()).join(employers.select(*EMPLOYER_KEY), EMPLOYER_KEY, "left_anti")
+                .select("_row.*", F.lit("no employer with this name and city").alias("reject_reason")))
+    return no_city.unionByName(unlinked)
+
+
+def job_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return link_rejects(job_temp(spark, sf), employer(spark, sf))
+
+
+def application_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return link_rejects(application_temp(spark, sf), employer(spark, sf))
+
+
 def job_repaired(jobs: DataFrame) -> DataFrame:
     """D4-D6 plus the start year (they read job columns only, so they run before the join)."""
     jobs = jobs.withColumn("employment_start_year", F.year("employment_start_date").cast("bigint"))
     return repair_wage_fields(repair_soc(repair_worksite(jobs)))
 
 
-def job(spark: SparkSession, sf: str, employers: DataFrame | None = None) -> DataFrame:
+def job(spark: SparkSession, sf: str, employers: DataFrame | None = None, staged: DataFrame | None = None) -> DataFrame:
     """Job: cleaned jobs linked to their employer's id."""
     emp = (employers if employers is not None else employer(spark, sf)).select("employer_id", *EMPLOYER_KEY)
-    jobs = job_repaired(with_link_key(job_temp(spark, sf)))
+    jobs = job_repaired(with_link_key(staged if staged is not None else job_temp(spark, sf)))
     return link_to_first(jobs, emp, EMPLOYER_KEY, "employer_id", right_unique=True).select(*JOB_OUTPUT)
 
 
-def application(spark: SparkSession, sf: str, employers: DataFrame | None = None) -> DataFrame:
+def application(spark: SparkSession, sf: str, employers: DataFrame | None = None, staged: DataFrame | None = None) -> DataFrame:
     """Application: applications linked to their employer's id."""
     emp = (employers if employers is not None else employer(spark, sf)).select("employer_id", *EMPLOYER_KEY)
-    apps = with_link_key(application_temp(spark, sf))
+    apps = with_link_key(staged if staged is not None else application_temp(spark, sf))
     return link_to_first(apps, emp, EMPLOYER_KEY, "employer_id", right_unique=True).select(*APPLICATION_OUTPUT)
 
 
@@ -123,6 +143,10 @@ def registrations_cleaned(spark: SparkSession, sf: str) -> DataFrame:
     return clean_registrations(registrations_merged(spark, sf))
 
 
+def registration_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    return rejected_registrations(registrations_merged(spark, sf))
+
+
 def wages(spark: SparkSession, sf: str) -> DataFrame:
     return merge_wages(fx.yearly_wages(spark, sf))
 

@@ -25,6 +25,7 @@ def _schema(spec: str) -> StructType:
     return StructType(fields)
 
 
+# Fixed values that must equal the reference's: names and types of the target tables' columns.
 EMPLOYER = _schema(
     "employer_id:STRING,employer_name:STRING,employer_address:STRING,employer_city:STRING,employer_state:STRING,"
     "employer_postal_code:STRING,employer_country:STRING,employer_province:STRING,employer_phone:STRING,"

@@ -5,8 +5,8 @@ the same operator as the batch job, and added to the four entity tables and the
 table.  ``foreachBatch`` writes all outputs of one micro-batch from one persisted parse,
 each into its own ``batch_id=N`` folder (a readable partition column), overwriting it: the
 sink is idempotent, so the at-least-once replay of a failed batch yields each row once.  The
-checkpoint (offsets and commits) lives under ``spark.checkpoint.dir``, so a restarted query
-resumes where it stopped.
+checkpoint (offsets and commits) lives inside the output folder: batch numbers and the folders
+named after them cannot part, and a restarted query resumes where it stopped.
 """
 
 from __future__ import annotations
@@ -18,7 +18,6 @@ from pyspark.sql.types import StringType, StructField, StructType
 from recordforge import schemas
 from recordforge.operators.extract import split_extract
 from recordforge.schemas import conform
-from recordforge.session import ensure_checkpoint_dir
 from recordforge.sources.text_source import HEADER_FIRST_FIELD
 
 TEXT_SCHEMA = StructType([StructField("value", StringType(), True)])
@@ -48,7 +47,7 @@ def _write_batch(out_dir: str):
 def start_extract_stream(spark: SparkSession, landing_dir: str, out_dir: str, query_name: str = "extract_split",
                          max_files_per_trigger: int = 100, available_now: bool = False) -> StreamingQuery:
     """Start the streaming split; ``available_now`` processes what is there and stops."""
-    ckpt = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{query_name}"
+    ckpt = f"{out_dir.rstrip('/')}/_checkpoint"
     stream = (spark.readStream.schema(TEXT_SCHEMA).option("maxFilesPerTrigger", max_files_per_trigger)
               .text(landing_dir))
     writer = stream.writeStream.queryName(query_name).option("checkpointLocation", ckpt).foreachBatch(_write_batch(out_dir))

@@ -60,8 +60,13 @@ def test_stream_available_now(spark, scratch):
     with open(os.path.join(landing, "a.tsv"), "w") as f:
         f.write(make_line(52, case_number="S1") + "\n" + make_line(30) + "\n")
     out = os.path.join(scratch, "out")
-    # a streaming checkpoint belongs to one query: a fresh name per run under spark.checkpoint.dir
-    q = start_extract_stream(spark, landing, out, query_name=f"t_stream_{uuid.uuid4().hex[:12]}", available_now=True)
-    q.awaitTermination(120)
-    assert spark.read.parquet(os.path.join(out, "application")).count() == 1
-    assert spark.read.parquet(os.path.join(out, "rejects")).count() == 1
+    def run():
+        start_extract_stream(spark, landing, out, query_name=f"t_stream_{uuid.uuid4().hex[:12]}",
+                             available_now=True).awaitTermination(120)
+        return [spark.read.parquet(os.path.join(out, n)).count() for n in ("application", "rejects")]
+
+    assert run() == [1, 1]
+    assert run() == [1, 1]  # a restart, also under another name, adds nothing
+    with open(os.path.join(landing, "b.tsv"), "w") as f:
+        f.write(make_line(52, case_number="S2") + "\n")
+    assert run() == [2, 1]

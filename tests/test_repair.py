@@ -72,6 +72,8 @@ def test_soc_and_wage_repair(spark):
     df = spark.createDataFrame([
         ("1", "SOFTWARE DEVELOPERS", "15-1132.00", "Year", 1.0, 0.0),
         ("2", "15-1132.00", None, "65000", 1.0, 5.0),
+        ("3", None, None, "65,000.", 1.0, None),
+        ("4", None, None, "2080 HRS", 1.0, None),
     ], "job_id string, soc_code string, soc_name string, pw_unit_of_pay string, prevailing_wage double, "
        "wage_rate_of_pay_to double")
     got = {r.job_id: r for r in repair_wage_fields(repair_soc(df)).collect()}
@@ -80,6 +82,8 @@ def test_soc_and_wage_repair(spark):
     assert got["1"].wage_rate_of_pay_to is None and got["2"].wage_rate_of_pay_to == 5.0
     assert (got["2"].pw_unit_of_pay, got["2"].prevailing_wage) == (None, 65000.0)
     assert (got["1"].pw_unit_of_pay, got["1"].prevailing_wage) == ("Year", 1.0)
+    assert (got["3"].pw_unit_of_pay, got["3"].prevailing_wage) == (None, 65000.0)
+    assert (got["4"].pw_unit_of_pay, got["4"].prevailing_wage) == ("2080 HRS", 1.0)
 
 
 def test_link_city(spark):

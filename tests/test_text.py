@@ -110,6 +110,16 @@ def test_text_key_is_stable(spark):
     assert keys[0] == keys[1] and keys[0] != keys[2]
 
 
+def test_text_key_tells_different_rows_apart(spark):
+    rows = [("a", None, 1.0), ("a", "\\N", 1.0), ("a", "N", 1.0), ("a\x1fb", "c", 1.0), ("a", "b\x1fc", 1.0), ("a1:b", "", 1.0),
+            ("a", "1:b", 1.0), ("a", "", 1.0), ("a", "", 1.0 + 1e-12), ("a", "", float("nan")), ("a", "", None), ("a", "", 1e35),
+            ("a", "", float("inf"))]
+    df = spark.createDataFrame(rows, "p string, q string, w double")
+    assert df.select(tx.text_key(["p", "q", "w"], {"w": "double"}).alias("k")).distinct().count() == len(rows)
+    zeros = spark.createDataFrame([("a", "", 0.0), ("a", "", -0.0)], "p string, q string, w double")  # equal for DISTINCT
+    assert zeros.select(tx.text_key(["p", "q", "w"], {"w": "double"}).alias("k")).distinct().count() == 1
+
+
 def test_normalize_whole_word_option(spark):
     df = one_col(spark, ["BAR INCORPORATED", "ACME, INC.", "X PCS LPX", "FOO CORP", "A LTD/B"])
     got = [r.n for r in df.select(tx.normalize_org_name("x", whole_word=True).alias("n")).collect()]
