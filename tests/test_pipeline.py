@@ -34,6 +34,8 @@ def test_build_all(spark, scratch, buckets):
     assert set(plans) == set(paths)
     written = {n: spark.read.parquet(p) for n, p in paths.items()}
     for n, plan in plans.items():
+        if buckets and n not in ("employer", "job", "application"):  # the others do not depend on it
+            continue
         expected = plan(spark, SF_SMALL)
         if n in ("wages", "geography"):  # a folder name is read back as int
             written[n] = written[n].withColumn("year", written[n]["year"].cast("long"))
