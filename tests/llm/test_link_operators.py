@@ -307,5 +307,24 @@ def test_pipeline_runs_with_awkward_rows(spark):
                 assert start.columns == docs.columns
 
 
+def test_near_duplicate_stage_tells_repeated_ids_apart(spark):
+    rng = random.Random(5)
+    text = lambda: " ".join(f"w{rng.randint(0, 10 ** 6)}" for _ in range(80))
+    three, alone, hot = text(), text(), [text() for _ in range(40)]
+    rows = [(3, three), (7, three), (7, alone), (5, text()), (5, text()), (6, hot[0]), (None, three), (None, hot[1])]
+    rows += [(9, t) for t in hot] + [(9, hot[2])] * 3 + [(2, hot[3]), (4, None), (4, ""), (8, " ")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"__h1": F.lit("x"), "n": F.lit(1)})
+    got = list(map(tuple, corpus_pipeline.near_duplicate_stage(spark, docs, SMALL).select("doc_id", "text").collect()))
+    groups = defaultdict(list)  # the texts are random: a group is a set of equal prints
+    for i, t in rows:
+        if i is not None:
+            groups[brute_print(t)].append((i, t))
+    assert sorted(t for i, t in got if i is None) == sorted(t for i, t in rows if i is None)
+    left = [(i, t) for i, t in got if i is not None]
+    assert len(left) == len(groups) and {brute_print(t) for _, t in left} == set(groups)
+    assert all(i == min(groups[brute_print(t)], key=lambda x: x[0])[0] for i, t in left)
+    assert (7, alone) in got and (7, three) not in got and sum(i == 5 for i, _ in got) == 2
+
+
 def test_pipeline_query(spark):
     assert queries.pipeline(spark, SMALL).count() > 0
