@@ -1,7 +1,9 @@
 """Benchmark decontamination: BM25 over an inverted index of the test items, pruned as block-max WAND does.
 
-Every document is cut into overlapping passages; each passage is a query that retrieves
-every test item whose BM25 score reaches ``min_score`` of the item's score for its own text.
+Items are dealt to length classes (powers of two, in words), and every document is cut into overlapping passages
+once per class, as long as two items of the class, so that an item's matches depend neither on the length of
+other items nor on the blocks below.  Each passage is a query that retrieves every test item of the class
+whose BM25 score reaches ``min_score`` of the item's score for its own text.
 Impacts are divided by that limit when the index is built, so the limit is 1 for all items.
 Per passage:
 
@@ -59,12 +61,17 @@ def shingles(words: list[str], size: int) -> set[tuple]:
     return {tuple(words[i:i + size]) for i in range(len(words) - size + 1)} if size else set()
 
 
+def length_class(n_words: int, least: int = 32) -> int:
+    """The power of two, ``least`` or more, that ``n_words`` words fit in."""
+    return max(least, 1 << max(0, n_words - 1).bit_length())
+
+
 class Index:
-    """Inverted index of one block of items with impacts scaled so that every item's limit is 1."""
+    """Inverted index of the items of one length class in a block, with impacts scaled so that every item's limit is 1."""
 
-    def __init__(self, items: list[tuple], n_items: int, mean_length: float, frequency: dict[str, int],
+    def __init__(self, items: list[tuple], stride: int, n_items: int, mean_length: float, frequency: dict[str, int],
                  min_score: float, shingle: int, block_items: int = 4, k1: float = 1.2, b: float = 0.75):
-        self.shingle, self.items = shingle, []
+        self.shingle, self.stride, self.items = shingle, stride, []
         self.vocabulary: dict[str, int] = {}
         postings: dict[int, list[tuple[int, float]]] = defaultdict(list)
         for item_id, question, answer in items:
@@ -84,8 +91,7 @@ class Index:
             at = len(self.items)
             for w, x in impact.items():
                 postings[self.vocabulary.setdefault(w, len(self.vocabulary))].append((at, x / limit))
-            self.items.append((item_id, shingles(q, min(shingle, max(2, len(q) // 4))), shingles(a, 1), len(words)))
-        self.longest = max((x[3] for x in self.items), default=0)
+            self.items.append((item_id, shingles(q, min(shingle, max(2, len(q) // 4))), shingles(a, 1)))
         n_terms = len(self.vocabulary)
         self.n_blocks = -(-len(self.items) // block_items)
         self.block_items = block_items
@@ -117,14 +123,13 @@ class Index:
         sums = np.bincount(item[keep], impact[keep], len(self.items))
         return [(int(i), float(sums[i])) for i in np.flatnonzero(sums >= 1 - 1e-9)]
 
-    def matches(self, text: str | None, min_question: float, min_answer: float, min_stride: int = 32) -> list[tuple]:
-        """Verified matches of a whole text: per item the best passage (item_id, score, question, answer, start, end)."""
-        words = words_of(text)
+    def matches(self, words: list[str], min_question: float, min_answer: float) -> list[tuple]:
+        """Verified matches of the words of a text: per item the best passage (item_id, score, question, answer, start, end)."""
         outside = len(self.vocabulary)
         get = self.vocabulary.get
         terms = np.fromiter((get(w, outside) for w in words), np.int64, len(words))
         # any run of ``stride`` words lies whole in one passage of two strides
-        stride = max(min_stride, self.longest)
+        stride = self.stride
         n_passages = max(1, -(-(len(words) - stride) // stride))
         best: dict[int, tuple] = {}
         for first in range(0, n_passages, GROUP):
@@ -147,7 +152,7 @@ class Index:
         """Adds the found items whose question and answer stand in the passage, if better than before."""
         vocabulary, by_size = set(passage), {}
         for at, score in found:
-            item_id, question, answer, _ = self.items[at]
+            item_id, question, answer = self.items[at]
             size = len(next(iter(question))) if question else 0
             if size not in by_size:
                 by_size[size] = shingles(passage, size)
@@ -173,10 +178,11 @@ class _Lists:
         return at, self.number[entry], self.weight[entry]
 
 
-def _matches_column(text: Column, index, min_question: float, min_answer: float) -> Column:
+def _matches_column(text: Column, indexes, min_question: float, min_answer: float) -> Column:
     @F.pandas_udf(MATCH)
     def match(texts: pd.Series) -> pd.Series:
-        return pd.Series([index.value.matches(t, min_question, min_answer) for t in texts])
+        return pd.Series([[m for index in indexes.value for m in index.matches(words, min_question, min_answer)]
+                          for words in map(words_of, texts)])
 
     return match(text)
 
@@ -222,7 +228,10 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         # one block: its texts are at most about block_bytes, and so are its words
         df = dict(here.select(F.explode("words").alias("word")).distinct().join(frequency, "word").select("word", "df").collect())
         rows = sorted(((r[0], r[1], r[2]) for r in here.select("item_id", "question", "answer").collect()), key=repr)
-        index = spark.sparkContext.broadcast(Index(rows, n, total / n, df, min_score, shingle))
-        matches = _matches_column(F.col(text_col), index, min_question, min_answer)
+        by_class = defaultdict(list)
+        for row in rows:
+            by_class[length_class(len(words_of(row[1])) + len(words_of(row[2])))].append(row)
+        indexes = spark.sparkContext.broadcast([Index(by_class[k], k, n, total / n, df, min_score, shingle) for k in sorted(by_class)])
+        matches = _matches_column(F.col(text_col), indexes, min_question, min_answer)
         found.append(docs.select(F.col(id_col), F.explode(matches).alias("__m")).select(id_col, "__m.*"))
     return reduce(DataFrame.unionByName, found)

@@ -158,6 +158,22 @@ def test_planted_passages_are_found_and_others_left(spark):
     assert not found & set(range(len(planted) + len(edited), len(planted + edited + clean)))
 
 
+def test_a_long_item_changes_no_match_of_the_others(spark):
+    rng = random.Random(6)
+    some = lambda n: " ".join(f"w{rng.randint(0, 300)}" for _ in range(n))
+    short = [(k, f"{some(8)}.", some(6)) for k in range(30)]
+    long = (99, " ".join(f"long{k}" for k in range(10_000)) + ".", "an answer")
+    schema = "item_id long, question string, answer string"
+    docs = documents(spark, [some(15_000) for _ in range(4)] + [f"{some(100)} {q} {a} {some(100)}" for _, q, a in short] + [long[1] + long[2]])
+    found = lambda items, **k: {(r["doc_id"], r["item_id"], r["start"], r["end"]) for r in decontaminate.find_leaks(
+        docs, spark.createDataFrame(items, schema), **k).collect()}
+    got = found([*short, long])
+    assert {(d, i) for d, i, _, _ in got if d >= 4} >= {(4 + k, k) for k in range(30)} | {(34, 99)}
+    assert all(e - s <= 64 for _, i, s, e in got if i != 99)
+    assert not any(d < 4 for d, *_ in got)
+    assert found([*short, long], block_bytes=30_000) == got
+
+
 def test_leak_edge_cases(spark):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "alpha beta gamma delta epsilon zeta. The answer is forty two."), (3, "..."), (None, "one")],
                                   "item_id long, text string")
