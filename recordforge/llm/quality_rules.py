@@ -2,7 +2,7 @@
 
 A line is normalised (blanks stripped, A-Z lower-cased) and hashed with 128 bits; lines of at
 least ``min_chars`` code points found in more than ``max_docs`` documents of one host are
-boilerplate of that host and are removed from all its documents.  A document that keeps less
+boilerplate of that host and are removed from all its documents, and the other lines are put together by position.  A document that keeps less
 than ``min_kept`` of its words is depleted and rejected, as is one that fails the rules on its
 own text.
 
@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordforge.llm.common import WORD_BREAK, cut, hash128, line_key
+from recordforge.llm.common import WORD_BREAK, hash128, line_key
 
 SYMBOLS = "#*$%&|<>"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
@@ -70,32 +70,45 @@ def boilerplate_lines(lines: DataFrame, max_docs: int) -> DataFrame:
             .where(F.col("__n") > max_docs).drop("__n"))
 
 
-def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
-                  max_docs: int = 10, min_chars: int = 20, min_kept: float = 0.5, min_words: int = 50,
-                  max_repeat_percent: int = 50) -> DataFrame:
-    """One row per document: id, the measures, n_boilerplate_words, base_failed, kept."""
+def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                    max_docs: int = 10, min_chars: int = 20, min_kept: float = 0.5, min_words: int = 50,
+                    max_repeat_percent: int = 50) -> DataFrame:
+    """``docs`` with boilerplate lines taken out of ``text_col``, the measures (before), n_boilerplate_words, base_failed, kept.
+
+    Texts without boilerplate come back as they are.  Who selects no text shuffles numbers only.
+    """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    rows = docs.select(F.col(id_col).alias("__id"), F.coalesce(F.col(host_col), F.lit("")).alias("__host"),
-                       text.alias("__t"), F.xxhash64(text).alias("__th"))
-    lines = (rows.select("__id", "__host", "__th", F.explode(F.split("__t", "\n", -1)).alias("__line"))
+    # the input row travels as single columns under names of its own, so that Spark can prune them
+    rows = docs.select(*[F.col(c).alias(f"__in_{c}") for c in docs.columns], F.col(id_col).alias("__id"),
+                       F.coalesce(F.col(host_col), F.lit("")).alias("__host"), text.alias("__t"), F.xxhash64(text).alias("__th"))
+    lines = (rows.select("__id", "__host", "__th", F.posexplode(F.split("__t", "\n", -1)).alias("__pos", "__line"))
              .withColumn("__key", line_key(F.col("__line")))
              .where(F.char_length("__key") >= min_chars)
-             .select("__id", "__host", "__th", count_words(F.col("__line")).alias("__words"),
+             .select("__id", "__host", "__th", "__pos", count_words(F.col("__line")).alias("__words"),
                      *[h.alias(n) for h, n in zip(hash128(F.col("__key")), ("__h1", "__h2"))]))
     frequent = boilerplate_lines(lines.where("__id is not null"), max_docs)
-    # a row and its equals carry the same sum, so equal rows are told apart from repeats by their count
-    copies = rows.groupBy("__id", "__host", "__th").agg(F.count(F.lit(1)).alias("__copies"))
+    # equal rows hold equal lines at equal positions: the set holds each once
     lost = (lines.join(frequent, ["__host", "__h1", "__h2"])
-            .groupBy("__id", "__host", "__th").agg(F.sum("__words").alias("__lost_all")))
-    # measured once and written without texts: the joins below shuffle numbers only
-    measured = cut(rows.withColumn("__m", measures_column(F.col("__t"))).select("__id", "__host", "__th", "__m.*"), "measures")
-    k = lambda df, tag: df.select(*[F.col(c).alias(f"{c}{tag}") if c in ("__id", "__host", "__th") else F.col(c) for c in df.columns])
-    same = lambda a, b: (F.col(f"__id{a}").eqNullSafe(F.col(f"__id{b}")) & (F.col(f"__host{a}") == F.col(f"__host{b}"))
-                         & (F.col(f"__th{a}") == F.col(f"__th{b}")))
-    lost = k(lost, "1").join(k(copies, "2"), same("1", "2")).select(
-        "__id1", "__host1", "__th1", F.expr("__lost_all div __copies").alias("__lost"))
-    failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeat_percent * F.col("n_words"))
-    left = F.col("n_words") - F.coalesce("__lost", F.lit(0))
-    return (measured.join(lost, same("", "1"), "left")
-            .select(F.col("__id").alias(id_col), *MEASURES, F.coalesce("__lost", F.lit(0)).cast("long").alias("n_boilerplate_words"),
-                    failed.alias("base_failed"), (~failed & (left >= min_kept * F.col("n_words"))).alias("kept")))
+            .groupBy(F.col("__id").alias("__id1"), F.col("__host").alias("__host1"), F.col("__th").alias("__th1"))
+            .agg(F.collect_set(F.struct("__pos", "__words")).alias("__gone")))
+    same = F.col("__id").eqNullSafe(F.col("__id1")) & (F.col("__host") == F.col("__host1")) & (F.col("__th") == F.col("__th1"))
+    n_lost = F.coalesce(F.aggregate("__gone", F.lit(0).cast("long"), lambda n, x: n + x["__words"]), F.lit(0).cast("long"))
+    arr = F.split(F.col("__t"), "\n", -1)
+    stay = F.array_except(F.sequence(F.lit(0), F.size(arr) - 1), F.col("__gone")["__pos"])
+    cleaned = F.when(F.col("__gone").isNull(), F.col(f"__in_{text_col}")).otherwise(
+        F.array_join(F.transform(stay, lambda i: F.get(arr, i)), "\n"))
+    n_words, n_repeat = F.col("__m.n_words"), F.col("__m.n_repeat_words")
+    failed = (n_words < min_words) | (100 * n_repeat > max_repeat_percent * n_words)
+    results = {**{m: F.col(f"__m.{m}") for m in MEASURES}, "n_boilerplate_words": n_lost, "base_failed": failed,
+               "kept": ~failed & (n_words - n_lost >= min_kept * n_words)}
+    return (rows.withColumn("__m", measures_column(F.col("__t"))).join(lost, same, "left")
+            .select(*[(cleaned if c == text_col else F.col(f"__in_{c}")).alias(c) for c in docs.columns if c not in results],
+                    *[v.alias(k) for k, v in results.items()]))
+
+
+def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source",
+                  max_docs: int = 10, min_chars: int = 20, min_kept: float = 0.5, min_words: int = 50,
+                  max_repeat_percent: int = 50) -> DataFrame:
+    """One row per document: id, the measures, n_boilerplate_words, base_failed, kept."""
+    clean = clean_documents(docs, id_col, text_col, host_col, max_docs, min_chars, min_kept, min_words, max_repeat_percent)
+    return clean.select(id_col, *MEASURES, "n_boilerplate_words", "base_failed", "kept")

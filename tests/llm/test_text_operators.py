@@ -161,6 +161,18 @@ def test_quality_matches_brute_force(spark):
     assert quality_rules.judge_quality(empty(spark)).count() == 0
 
 
+def test_boilerplate_lines_are_taken_out_of_the_texts(spark):
+    foot = "A shared footer line of this host"
+    texts = [f"one {k}\n{foot}\n\ntwo {k}\n {foot.upper()}\t\n" for k in range(12)] + ["no such line\n", None, foot]
+    docs = documents(spark, texts, source={14: "other"}).withColumn("kept", F.lit("clash"))
+    docs = docs.unionByName(docs.where("doc_id = 3")).unionByName(docs.where("doc_id = 4").withColumn("doc_id", F.lit(None).cast("long")))
+    clean = quality_rules.clean_documents(docs)
+    assert [c for c in docs.columns if c != "kept"] == clean.columns[:5]
+    got = sorted(((r["doc_id"], r["text"], r["n_boilerplate_words"]) for r in clean.collect()), key=repr)
+    want = [(k, f"one {k}\n\ntwo {k}\n", 14) for k in [*range(12), 3]] + [(None, "one 4\n\ntwo 4\n", 14)]
+    assert got == sorted(want + [(12, texts[12], 0), (13, None, 0), (14, foot, 0)], key=repr)
+
+
 def test_quality_query(spark):
     rows = [(r["doc_id"], r["text"], r["source"]) for r in table(spark, SF, "documents").collect()]
     assert sorted(map(tuple, queries.op6_quality_rules(spark, SF).collect()), key=repr) == brute_quality(rows, 10)
