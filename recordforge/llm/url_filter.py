@@ -16,6 +16,8 @@ as often as they occur; an empty table gives an empty table.  DataFrame function
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -52,25 +54,26 @@ def host_edges(pages: DataFrame, host: Column, html: Column) -> DataFrame:
             .groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n")))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 30, tolerance: float = 1e-6) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = None, tolerance: float = 1e-6) -> DataFrame:
     """Ranks (kind, host, rank): ``trust`` along the edges, ``distrust`` against them.
 
-    ``seeds`` holds (kind, host, seed) with seeds of a kind adding up to 1.  Stops when the
-    ranks change by less than ``tolerance`` in sum, or after ``rounds``.
+    ``seeds`` holds (kind, host, seed) with seeds of a kind adding up to 1.  Stops when no
+    rank changes by more than the share ``tolerance`` of itself, so every host that a seed reaches has its rank, however
+    many links away and however small; a damping below 1 bounds the rounds.  ``rounds`` may set a limit.
     """
     walk = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("from"), F.col("dst").alias("to"), "n").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("from"), F.col("src").alias("to"), "n"))
     out = walk.groupBy("kind", "from").agg(F.sum("n").alias("all"))
     walk = cut(walk.join(out, ["kind", "from"]).select("kind", "from", "to", (F.col("n") / F.col("all")).alias("share")), "edges")
     ranks = cut(seeds.select("kind", "host", F.col("seed").alias("rank"), "seed"), "ranks")
-    for _ in range(rounds):
+    for _ in range(rounds) if rounds is not None else itertools.count():
         moved = (ranks.where("rank > 0").join(walk, (ranks.kind == walk.kind) & (F.col("host") == F.col("from")))
                  .select(walk.kind, F.col("to").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank"),
                          F.lit(0.0).alias("seed"), F.lit(0.0).alias("old")))
         stay = ranks.select("kind", "host", ((1 - damping) * F.col("seed")).alias("rank"), "seed", F.col("rank").alias("old"))
         ranks = cut(stay.unionByName(moved).groupBy("kind", "host")
                     .agg(F.sum("rank").alias("rank"), F.sum("seed").alias("seed"), F.sum("old").alias("old")), "ranks")
-        change = ranks.agg(F.sum(F.abs(F.col("rank") - F.col("old")))).first()[0] or 0.0
+        change = ranks.where("rank > 0").agg(F.max(F.abs(F.col("rank") - F.col("old")) / F.col("rank"))).first()[0] or 0.0
         ranks = ranks.drop("old")
         if change < tolerance:
             break
@@ -78,7 +81,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
 
 
 def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str = "page_id", url_col: str = "url",
-               html_col: str = "html", max_distrust: float = 0.5, damping: float = 0.85, rounds: int = 30) -> DataFrame:
+               html_col: str = "html", max_distrust: float = 0.5, damping: float = 0.85) -> DataFrame:
     """One row per page: id, host, path, rule, verdict, distrust (share of the host, null if not reached)."""
     host, path = url_host(F.col(url_col)), url_path(F.col(url_col))
     judged = pages.select(F.col(id_col).alias("__id"), host.alias("__host"), path.alias("__path")).withColumn(
@@ -88,7 +91,7 @@ def judge_urls(pages: DataFrame, rules: list[tuple[str, str, str]], id_col: str
                      F.col("__host").alias("host")).agg(F.count(F.lit(1)).alias("n")))
     sums = seen.groupBy("kind").agg(F.sum("n").alias("all"))  # two rows
     seeds = seen.join(F.broadcast(sums), "kind").select("kind", "host", (F.col("n") / F.col("all")).alias("seed"))
-    ranks = propagate(host_edges(pages, host, F.col(html_col)), seeds, damping, rounds)
+    ranks = propagate(host_edges(pages, host, F.col(html_col)), seeds, damping)
     trust = F.sum(F.when(F.col("kind") == "trust", F.col("rank")).otherwise(0.0))
     distrust = F.sum(F.when(F.col("kind") == "distrust", F.col("rank")).otherwise(0.0))
     hosts = cut(ranks.groupBy(F.col("host").alias("__h")).agg((distrust / (trust + distrust)).alias("__distrust")), "hosts")

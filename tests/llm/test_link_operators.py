@@ -246,6 +246,13 @@ def test_trust_and_distrust_follow_links(spark):
     assert url_filter.judge_urls(pages.limit(0), rules).count() == 0
 
 
+def test_distrust_reaches_the_end_of_a_long_chain(spark):
+    rows = [(k, f"http://h{k}.net/", f'<a href="http://{f"h{k - 1}" if k else "bad"}.net/">') for k in range(33)]
+    got = url_filter.judge_urls(spark.createDataFrame(rows + [(99, "http://bad.net/", None)], "page_id long, url string, html string"),
+                                [("block", "bad.net", "/")]).collect()
+    assert {r["page_id"]: (r["verdict"], r["distrust"]) for r in got} == {**{k: ("block", 1.0) for k in range(33)}, 99: ("block", 1.0)}
+
+
 # ---- tool calls
 
 def test_calls_are_linked_ordered_checked_and_canonical(spark):
