@@ -69,7 +69,7 @@ def op8_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_tool_call_linking(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tool_calls.link_tool_calls(table(spark, sf_dir, "conversations"), TOOL_SCHEMAS)
+    return tool_calls.link_tool_calls(table(spark, sf_dir, "conversations"), TOOL_SCHEMAS).drop("n_duplicate")
 
 
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -284,6 +284,28 @@ def test_calls_are_linked_ordered_checked_and_canonical(spark):
     assert tool_calls.link_tool_calls(df.limit(0), queries.TOOL_SCHEMAS).count() == 0
 
 
+def test_results_follow_moved_calls_and_keep_all_fields(spark):
+    both = lambda answer, *ids: json.dumps({"tool_call_id": answer, "tool_calls": [{"id": i} for i in ids]})
+    nested = ('{"id":"n","function":{"name":"search","arguments":{"query":"q"}},"type":"function"}')
+    rows = [(1, 1, "tool", both("a", "b")), (1, 2, "tool", both("b", "c")), (1, 3, "tool", '{"tool_call_id":"c","name":"t","x":{"b":1,"a":null}}'),
+            (1, 5, "assistant", '{"tool_calls":[{"id":"a"}],"role":"old"}'), (1, 6, "user", "end"),
+            (2, 0, "tool", both("y", "x")), (2, 1, "tool", both("x", "y")), (2, 2, "tool", both("s", "s")),
+            (3, 0, None, '{"tool_calls":[' + nested + ',{"id":"n"}],"role":"own"}'), (3, 1, "assistant", '{"tool_calls":[{"id":"n"},{"id":"m"}]}')]
+    rows += [(4, k, "tool", both(f"k{k + 1}", f"k{k}")) for k in range(20)] + [(4, 20, "assistant", '{"tool_calls":[{"id":"k20"}]}')]
+    got = defaultdict(list)
+    for r in tool_calls.link_tool_calls(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"),
+                                        queries.TOOL_SCHEMAS).orderBy("conv_id", "position").collect():
+        got[r["conv_id"]].append(r)
+    assert [r["turn"] for r in got[1]] == [5, 1, 2, 3, 6]
+    assert [r["json"] for r in got[1][:4]] == [
+        '{"role":"assistant","tool_calls":[{"id":"a"}]}', '{"role":"tool","tool_call_id":"a","tool_calls":[{"id":"b"}]}',
+        '{"role":"tool","tool_call_id":"b","tool_calls":[{"id":"c"}]}', '{"name":"t","role":"tool","tool_call_id":"c","x":{"a":null,"b":1}}']
+    assert [r["turn"] for r in got[2]] == [0, 1, 2]  # rings open at their first message
+    assert [(r["n_valid"], r["n_duplicate"]) for r in got[3]] == [(1, 1), (0, 1)]
+    assert got[3][0]["json"] == ('{"role":"own","tool_calls":[{"function":{"arguments":{"query":"q"},"name":"search"},"id":"n","type":"function"},{"id":"n"}]}')
+    assert [r["turn"] for r in got[4]] == [20, *range(19, -1, -1)]
+
+
 def test_tool_call_query_serialises_every_message(spark):
     want = defaultdict(list)
     for r in sorted(table(spark, SF, "conversations").collect(), key=lambda r: (r["conv_id"], r["turn"])):
