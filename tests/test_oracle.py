@@ -8,7 +8,7 @@ import pytest
 sys.path.insert(0, os.path.join(os.path.dirname(os.path.dirname(os.path.abspath(__file__))), "scripts"))
 
 import __spark_entry__ as entry  # noqa: E402
-from conftest import SF_SMALL  # noqa: E402
+from rf_testdata import SF_SMALL  # noqa: E402
 from oracle_check import digest, duck_conn, SPARK_TO_DUCK  # noqa: E402
 
 from recordforge.plans.catalog import ORACLE, QUERIES  # noqa: E402

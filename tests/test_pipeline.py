@@ -4,7 +4,7 @@ import os
 
 import pytest
 
-from conftest import SF_SMALL
+from rf_testdata import SF_SMALL
 from recordforge.plans import pipeline
 from recordforge.plans import tables as t
 from recordforge.sources import fixtures as fx

@@ -5,7 +5,7 @@ import os
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from conftest import SF_SMALL
+from rf_testdata import SF_SMALL
 from recordforge.plans.catalog import QUERIES
 from recordforge.operators import staging as stg
 from recordforge.plans import tables as t
