@@ -9,8 +9,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from recordforge.llm import (decontaminate, language_id, line_dedup, packing, quality_rules, secrets, sharding, simhash,
-                             tool_calls, url_filter)
+from recordforge.llm import (collocations, decontaminate, language_id, line_dedup, multi_index, packing, quality_rules, secrets,
+                             sharding, simhash, tool_calls, url_filter, whitening)
 from recordforge.llm.common import table
 
 URL_RULES = [("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "example.org", "/en/1"),
@@ -78,6 +78,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                          F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine_phrases(table(spark, sf_dir, "documents"))
+
+
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return multi_index.nearest_neighbours(table(spark, sf_dir, "embeddings"), is_query=F.col("vec_id") % 20 == 0)
+
+
+def op13_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     if root not in sys.path:
@@ -98,6 +110,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_best_fit_packing": op8_best_fit_packing,
     "op9_tool_call_linking": op9_tool_call_linking,
     "op10_sharding": op10_sharding,
+    "op11_phrase_collocations": op11_phrase_collocations,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
+    "op13_embedding_whitening": op13_embedding_whitening,
     "pipeline": pipeline,
 }
 
@@ -119,4 +134,27 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op11_phrase_collocations": r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         unnest(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+  FROM documents WHERE text IS NOT NULL),
+words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+spans AS (SELECT lang, w, k, unnest(range(1, len(w) - k + 2)) AS i FROM words, (SELECT unnest([1, 2, 3, 4]) AS k)),
+f AS (SELECT lang, k, array_to_string(w[i:i + k - 1], ' ') AS phrase, count(*) AS f FROM spans GROUP BY ALL),
+total AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM f WHERE k = 1 GROUP BY lang),
+candidate AS (SELECT * FROM f WHERE k > 1 AND f >= 30),
+alone AS (
+  SELECT * FROM candidate c WHERE NOT EXISTS (
+    SELECT 1 FROM candidate d WHERE d.lang = c.lang AND d.k > c.k AND CAST(d.f AS HUGEINT) * 100 >= CAST(c.f AS HUGEINT) * 80
+      AND contains(' ' || d.phrase || ' ', ' ' || c.phrase || ' '))),
+cut AS (SELECT lang, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, k)) AS pos FROM alone),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, c.pos, x.f AS l, y.f AS r, (CAST(c.a AS HUGEINT) * 2000000) // (x.f + y.f) AS score
+  FROM cut c JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(c.w[:c.pos], ' ')
+             JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(c.w[c.pos + 1:], ' ')),
+weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, pos) = 1),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM weakest)
+SELECT r.lang, r.rank, r.phrase, r.a, r.l, r.r, t.n, CAST(r.score AS BIGINT) AS score
+FROM ranked r JOIN total t ON t.lang = r.lang WHERE r.rank <= 2000""",
 }
