@@ -43,7 +43,7 @@ BREAKS = b".,;:!?\n\x0b\x0c\r"
 BREAK = b"."
 _TO_BREAK = bytes.maketrans(BREAKS, BREAK * len(BREAKS))
 _GAP = re.compile(rb"[ \t.]")
-BLOCKS = 32
+BLOCKS = 8
 FILTER_BITS = 1 << 26
 #: words counted at once by a task, and bytes of a text split at once
 CHUNK_WORDS = 1 << 21
