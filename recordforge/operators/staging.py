@@ -8,6 +8,9 @@
 
 Branch-level DISTINCTs under a UNION DISTINCT are redundant; one ``distinct`` after the
 union is written instead (its partial aggregation runs before the shuffle).
+
+The yearly tables come as a mapping of year to frame (``YearlyTables`` of ``sources.yearly`` reads them by a path
+pattern), or as ``SharedTables``: rows of one frame, which is then read once for all years.
 """
 
 from __future__ import annotations
@@ -19,6 +22,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordforge.functions.text import safe_bool, safe_date, safe_double, strip, text_key
+from recordforge.operators.branches import Accessor, SharedTables, one_pass
+
+Yearly = Mapping[int, DataFrame] | SharedTables
+Rules = Mapping[int, Mapping[str, Callable[[Accessor], Column]]]
 
 EMPLOYER_COLUMNS = (
     "employer_name", "employer_address", "employer_city", "employer_state", "employer_postal_code",
@@ -50,9 +57,9 @@ def sample_rows(df: DataFrame, n: int, order_by: list[str]) -> DataFrame:
     return df.orderBy(*order_by).limit(n)
 
 
-def valid_employer(name: str = "employer_name", city: str = "employer_city") -> Column:
+def valid_employer(c: Accessor = F.col) -> Column:
     """The junk-name guard used by every staging statement."""
-    return F.col(name).isNotNull() & (F.col(name) != "1") & F.col(city).isNotNull()
+    return c("employer_name").isNotNull() & (c("employer_name") != "1") & c("employer_city").isNotNull()
 
 
 def wage_range_from(text: Column) -> Column:
@@ -72,136 +79,145 @@ def h1b_flag_from_letter(col: Column) -> Column:
 
 
 # Per-year column mappings.  Anything not listed is taken by name.
-EMPLOYER_ALIGN: Mapping[int, Mapping[str, Callable[[], Column]]] = {
+EMPLOYER_ALIGN: Rules = {
     2018: {
-        "employer_phone": lambda: F.col("employer_phone").cast("string"),
-        "h1b_dependent": lambda: h1b_flag_from_letter(F.col("h1b_dependent")),
+        "employer_phone": lambda c: c("employer_phone").cast("string"),
+        "h1b_dependent": lambda c: h1b_flag_from_letter(c("h1b_dependent")),
     },
     2015: {
-        "employer_address": lambda: F.concat(F.col("employer_address1"), F.lit(" "), F.col("employer_address2")),
+        "employer_address": lambda c: F.concat(c("employer_address1"), F.lit(" "), c("employer_address2")),
     },
 }
 
-JOB_ALIGN: Mapping[int, Mapping[str, Callable[[], Column]]] = {
+JOB_ALIGN: Rules = {
     2018: {
-        "wage_rate_of_pay_from": lambda: safe_double(F.col("wage_rate_of_pay_from")),
-        "full_time_position": lambda: safe_bool(F.col("full_time_position")),
-        "prevailing_wage": lambda: safe_double(F.col("prevailing_wage")),
-        "pw_source_year": lambda: F.col("pw_source_year").cast("string"),
+        "wage_rate_of_pay_from": lambda c: safe_double(c("wage_rate_of_pay_from")),
+        "full_time_position": lambda c: safe_bool(c("full_time_position")),
+        "prevailing_wage": lambda c: safe_double(c("prevailing_wage")),
+        "pw_source_year": lambda c: c("pw_source_year").cast("string"),
     },
     2017: {
-        "employment_start_date": lambda: F.col("employment_start_date").cast("date"),
-        "employment_end_date": lambda: F.col("employment_end_date").cast("date"),
+        "employment_start_date": lambda c: c("employment_start_date").cast("date"),
+        "employment_end_date": lambda c: c("employment_end_date").cast("date"),
     },
     2016: {
-        "employment_start_date": lambda: F.col("employment_start_date").cast("date"),
-        "employment_end_date": lambda: F.col("employment_end_date").cast("date"),
-        "full_time_position": lambda: safe_bool(F.col("full_time_position")),
-        "pw_source": lambda: F.col("pw_wage_source"),
-        "pw_source_year": lambda: F.col("pw_wage_source_year"),
-        "pw_source_other": lambda: F.col("pw_wage_source_other"),
+        "employment_start_date": lambda c: c("employment_start_date").cast("date"),
+        "employment_end_date": lambda c: c("employment_end_date").cast("date"),
+        "full_time_position": lambda c: safe_bool(c("full_time_position")),
+        "pw_source": lambda c: c("pw_wage_source"),
+        "pw_source_year": lambda c: c("pw_wage_source_year"),
+        "pw_source_other": lambda c: c("pw_wage_source_other"),
     },
     2015: {
-        "employment_start_date": lambda: F.col("employment_start_date").cast("date"),
-        "employment_end_date": lambda: F.col("employment_end_date").cast("date"),
-        "wage_rate_of_pay_from": lambda: wage_range_from(F.col("wage_rate_of_pay")),
-        "wage_rate_of_pay_to": lambda: wage_range_to(F.col("wage_rate_of_pay")),
-        "pw_source_year": lambda: F.col("pw_wage_source_year").cast("string"),
+        "employment_start_date": lambda c: c("employment_start_date").cast("date"),
+        "employment_end_date": lambda c: c("employment_end_date").cast("date"),
+        "wage_rate_of_pay_from": lambda c: wage_range_from(c("wage_rate_of_pay")),
+        "wage_rate_of_pay_to": lambda c: wage_range_to(c("wage_rate_of_pay")),
+        "pw_source_year": lambda c: c("pw_wage_source_year").cast("string"),
     },
 }
 
-APPLICATION_ALIGN: Mapping[int, Mapping[str, Callable[[], Column]]] = {
+APPLICATION_ALIGN: Rules = {
     y: {
-        "case_submitted": lambda: safe_date(F.col("case_submitted")),
-        "decision_date": lambda: safe_date(F.col("decision_date")),
+        "case_submitted": lambda c: safe_date(c("case_submitted")),
+        "decision_date": lambda c: safe_date(c("decision_date")),
     }
     for y in (2015, 2016, 2017)
 }
 
 
-def align(df: DataFrame, year: int, columns: tuple[str, ...], mapping: Mapping[int, Mapping[str, Callable[[], Column]]],
-          types: Mapping[str, str] | None = None) -> DataFrame:
-    """Select the canonical columns of one yearly table (renames/casts from ``mapping``)."""
+def _aligned(c: Accessor, year: int, columns: tuple[str, ...], mapping: Rules, types: Mapping[str, str] | None) -> list[Column]:
     rules = mapping.get(year, {})
-    cols = []
+    out = []
     for name in columns:
-        c = rules[name]() if name in rules else F.col(name)
+        col = rules[name](c) if name in rules else c(name)
         if types and name in types:
-            c = c.cast(types[name])
-        cols.append(c.alias(name))
-    return df.select(*cols)
+            col = col.cast(types[name])
+        out.append(col.alias(name))
+    return out
+
+
+def align(df: DataFrame, year: int, columns: tuple[str, ...], mapping: Rules, types: Mapping[str, str] | None = None) -> DataFrame:
+    """Select the canonical columns of one yearly table (renames/casts from ``mapping``)."""
+    return df.select(*_aligned(F.col, year, columns, mapping, types))
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), frames)
 
 
-def aligned_union(yearly: Mapping[int, DataFrame], columns: tuple[str, ...],
-                  mapping: Mapping[int, Mapping[str, Callable[[], Column]]], row_filter: Column | None = None,
+def aligned_union(yearly: Yearly, columns: tuple[str, ...], mapping: Rules, row_filter: Callable[[Accessor], Column] | None = None,
                   types: Mapping[str, str] | None = None, tag_year: bool = False) -> DataFrame:
-    """Filter each yearly table, align it, and UNION ALL the results (years newest first)."""
+    """Filter each yearly table, align it, and UNION ALL the results (years newest first).
+
+    Tables that share their rows are read in one pass.
+    """
+    def columns_of(c: Accessor, year: int) -> list[Column]:
+        tag = [F.lit(year).cast("bigint").alias("source_year")] if tag_year else []
+        return [*_aligned(c, year, columns, mapping, types), *tag]
+
+    years = sorted(yearly, reverse=True)
+    if isinstance(yearly, SharedTables):
+        branches = []
+        for year in years:
+            c, condition = yearly.accessor(year), yearly.where[year]
+            branches.append((condition if row_filter is None else condition & row_filter(c), columns_of(c, year)))
+        return one_pass(yearly.rows, branches)
     frames = []
-    for year in sorted(yearly, reverse=True):
-        df = yearly[year]
-        if row_filter is not None:
-            df = df.filter(row_filter)
-        out = align(df, year, columns, mapping, types)
-        if tag_year:
-            out = out.withColumn("source_year", F.lit(year).cast("bigint"))
-        frames.append(out)
+    for year in years:
+        df = yearly[year] if row_filter is None else yearly[year].filter(row_filter(F.col))
+        frames.append(df.select(*columns_of(F.col, year)))
     return union_all(frames)
 
 
-def employer_staging(yearly: Mapping[int, DataFrame], distinct: bool = True) -> DataFrame:
+def employer_staging(yearly: Yearly, distinct: bool = True) -> DataFrame:
     """Employer_Temp: distinct valid employers of all years plus ``employer_id``.
 
     The id is a function of the row, so a consumer that keeps one row per id anyway may take the
     rows with their repeats (``distinct=False``) and save a shuffle.
     """
-    rows = aligned_union(yearly, EMPLOYER_COLUMNS, EMPLOYER_ALIGN, valid_employer())
+    rows = aligned_union(yearly, EMPLOYER_COLUMNS, EMPLOYER_ALIGN, valid_employer)
     rows = rows.distinct() if distinct else rows
     return rows.select(text_key(list(EMPLOYER_COLUMNS)).alias("employer_id"), *EMPLOYER_COLUMNS)
 
 
-def job_rows(yearly: Mapping[int, DataFrame]) -> DataFrame:
+def job_rows(yearly: Yearly) -> DataFrame:
     """Valid job rows of all years, aligned (UNION ALL, before the distinct)."""
-    job_filter = (
-        valid_employer()
-        & F.col("employment_start_date").isNotNull()
-        & F.col("employment_end_date").isNotNull()
-        & F.col("job_title").isNotNull()
-    )
-    return aligned_union(yearly, JOB_COLUMNS, JOB_ALIGN, job_filter, JOB_TYPES)
+    def complete(c: Accessor) -> Column:
+        return (valid_employer(c) & c("employment_start_date").isNotNull() & c("employment_end_date").isNotNull()
+                & c("job_title").isNotNull())
+
+    return aligned_union(yearly, JOB_COLUMNS, JOB_ALIGN, complete, JOB_TYPES)
 
 
-def job_staging(yearly: Mapping[int, DataFrame]) -> DataFrame:
+def job_staging(yearly: Yearly) -> DataFrame:
     """Job_Temp: distinct valid jobs of all years plus ``job_id``."""
     rows = job_rows(yearly).distinct()
     return rows.select(text_key(list(JOB_COLUMNS), {k: v for k, v in JOB_TYPES.items()}).alias("job_id"), *JOB_COLUMNS)
 
 
-def attorney_dim(yearly: Mapping[int, DataFrame]) -> DataFrame:
+def attorney_dim(yearly: Yearly) -> DataFrame:
     """Attorney: distinct (name, city, state) of all years, for applications with a valid employer."""
-    flt = (
-        F.col("agent_attorney_name").isNotNull() & F.col("agent_attorney_city").isNotNull()
-        & F.col("agent_attorney_state").isNotNull() & valid_employer()
-    )
-    cols = {"attorney_name": "agent_attorney_name", "attorney_city": "agent_attorney_city",
-            "attorney_state": "agent_attorney_state"}
-    rows = union_all([
-        yearly[y].filter(flt).select(*[F.col(src).alias(dst) for dst, src in cols.items()])
-        for y in sorted(yearly, reverse=True)
-    ]).distinct()
-    return rows.select(text_key(list(cols)).alias("attorney_id"), *cols)
-
-
-def application_rows(yearly: Mapping[int, DataFrame]) -> DataFrame:
+    def named(c: Accessor) -> Column:
+        return (c("agent_attorney_name").isNotNull() & c("agent_attorney_city").isNotNull()
+                & c("agent_attorney_state").isNotNull() & valid_employer(c))
+
+    rules = {
+        "attorney_name": lambda c: c("agent_attorney_name"),
+        "attorney_city": lambda c: c("agent_attorney_city"),
+        "attorney_state": lambda c: c("agent_attorney_state"),
+    }
+    rows = aligned_union(yearly, tuple(rules), {y: rules for y in yearly}, named).distinct()
+    return rows.select(text_key(list(rules)).alias("attorney_id"), *rules)
+
+
+def application_rows(yearly: Yearly) -> DataFrame:
     """Valid applications of all years, aligned, keeping the attorney name and city for the join."""
     cols = APPLICATION_COLUMNS + ("agent_attorney_name", "agent_attorney_city", "agent_attorney_state")
-    return aligned_union(yearly, cols, APPLICATION_ALIGN, valid_employer(), {"case_submitted": "date", "decision_date": "date"})
+    return aligned_union(yearly, cols, APPLICATION_ALIGN, valid_employer, {"case_submitted": "date", "decision_date": "date"})
 
 
-def application_staging(yearly: Mapping[int, DataFrame], attorneys: DataFrame | None = None,
+def application_staging(yearly: Yearly, attorneys: DataFrame | None = None,
                         match_state: bool = False) -> DataFrame:
     """Application_Temp: UNION ALL of the years, LEFT JOIN Attorney on (name, city).
 

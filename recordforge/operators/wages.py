@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordforge.functions.text import round_half_up
+from recordforge.operators.staging import Yearly, aligned_union
 
 HOURS_PER_DAY = 8
 DAYS_PER_YEAR = 365
 HOURLY_BELOW = 300
 ANNUAL_ABOVE = 15000
+WAGE_COLUMNS = ("area", "year", "soc_code", "annual_salary")
+GEOGRAPHY_COLUMNS = ("area", "year", "state", "county")
 
 
 def annualize_wage(avg: Column, hours: int = HOURS_PER_DAY, days: int = DAYS_PER_YEAR) -> Column:
@@ -25,27 +25,29 @@ def annualize_wage(avg: Column, hours: int = HOURS_PER_DAY, days: int = DAYS_PER
     )
 
 
-def merge_wages(yearly: Mapping[int, DataFrame]) -> DataFrame:
+def _wage_rules(year: int) -> dict:
+    return {
+        "area": lambda c: c("Area").cast("bigint"),
+        "year": lambda c: F.lit(year).cast("bigint"),
+        "soc_code": lambda c: c("SocCode"),
+        "annual_salary": lambda c: annualize_wage(c("Average").cast("double")),
+    }
+
+
+def _geography_rules(year: int) -> dict:
+    return {
+        "area": lambda c: c("Area").cast("bigint"),
+        "year": lambda c: F.lit(year).cast("bigint"),
+        "state": lambda c: c("StateAb"),
+        "county": lambda c: c("CountyTownName"),
+    }
+
+
+def merge_wages(yearly: Yearly) -> DataFrame:
     """All_Industries_Wages(area, year, soc_code, annual_salary) from the yearly tables."""
-    return reduce(lambda a, b: a.unionByName(b), [
-        df.select(
-            F.col("Area").cast("bigint").alias("area"),
-            F.lit(year).cast("bigint").alias("year"),
-            F.col("SocCode").alias("soc_code"),
-            annualize_wage(F.col("Average").cast("double")).alias("annual_salary"),
-        )
-        for year, df in sorted(yearly.items())
-    ])
-
-
-def merge_geography(yearly: Mapping[int, DataFrame]) -> DataFrame:
+    return aligned_union(yearly, WAGE_COLUMNS, {y: _wage_rules(y) for y in yearly})
+
+
+def merge_geography(yearly: Yearly) -> DataFrame:
     """Geography(area, year, state, county) from the yearly tables."""
-    return reduce(lambda a, b: a.unionByName(b), [
-        df.select(
-            F.col("Area").cast("bigint").alias("area"),
-            F.lit(year).cast("bigint").alias("year"),
-            F.col("StateAb").alias("state"),
-            F.col("CountyTownName").alias("county"),
-        )
-        for year, df in sorted(yearly.items())
-    ])
+    return aligned_union(yearly, GEOGRAPHY_COLUMNS, {y: _geography_rules(y) for y in yearly})

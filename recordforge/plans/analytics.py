@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordforge.functions.text import round_half_up, year_boundaries_between
+from recordforge.operators.link import spread_join
 
 # The keyword patterns of a technology occupation, the one exclusion, the
 # 13 states with registries, and the age brackets.
@@ -71,7 +72,8 @@ def tech_employer_age(tech_employers: DataFrame, registrations: DataFrame, as_of
         F.col("corporation_state").alias("employer_state"),
         "registration_date",
     )
-    joined = e.join(r, on=["employer_name", "employer_state"], how="inner")
+    # the names are distinct by the join key already; a name with very many registrations can still be split
+    joined = spread_join(r, e, ["employer_name", "employer_state"])
     return joined.select(
         "employer_name", "employer_state", "registration_date",
         year_boundaries_between(F.col("registration_date"), asof).alias("employer_age"),

@@ -52,33 +52,30 @@ def q_digit_checks(spark, sf):
 
 def q_safe_casts(spark, sf):
     """F4-F7 over all four yearly tables: each year casts the fields it stores as text."""
-    y = fx.yearly_applications(spark, sf)
-    per_year = {
-        2018: (tx.safe_double(F.col("wage_rate_of_pay_from")), tx.safe_double(F.col("prevailing_wage")),
-               tx.safe_bool(F.col("full_time_position")), F.col("case_submitted")),
-        2017: (F.col("wage_rate_of_pay_from"), F.col("prevailing_wage"), F.col("full_time_position"),
-               tx.safe_date(F.col("case_submitted"))),
-        2016: (F.col("wage_rate_of_pay_from"), F.col("prevailing_wage"), tx.safe_bool(F.col("full_time_position")),
-               tx.safe_date(F.col("case_submitted"))),
-        2015: (stg.wage_range_from(F.col("wage_rate_of_pay")), F.col("prevailing_wage"), F.col("full_time_position"),
-               tx.safe_date(F.col("case_submitted"))),
+    def text(name, cast):
+        return lambda c: cast(c(name))
+
+    wages = {"wage_from": lambda c: c("wage_rate_of_pay_from")}
+    case = {"case_submitted": text("case_submitted", tx.safe_date)}
+    rules = {
+        2018: {"wage_from": text("wage_rate_of_pay_from", tx.safe_double), "prevailing_wage": text("prevailing_wage", tx.safe_double),
+               "full_time_position": text("full_time_position", tx.safe_bool)},
+        2017: {**wages, **case},
+        2016: {**wages, **case, "full_time_position": text("full_time_position", tx.safe_bool)},
+        2015: {**case, "wage_from": text("wage_rate_of_pay", stg.wage_range_from)},
     }
-    names = ("wage_from", "prevailing_wage", "full_time_position", "case_submitted")
-    return stg.union_all([
-        y[year].select("case_number", *[c.alias(n) for c, n in zip(cols, names)])
-        for year, cols in per_year.items()
-    ])
+    return stg.aligned_union(t.yearly(spark, sf), ("case_number", "wage_from", "prevailing_wage", "full_time_position", "case_submitted"), rules)
 
 
 def q_wage_range_split(spark, sf):
-    a = fx.yearly_applications(spark, sf)[2015]
+    a = t.yearly(spark, sf).table(2015)
     w = F.col("wage_rate_of_pay")
     return a.select("case_number", w, stg.wage_range_from(w).alias("wage_rate_of_pay_from"),
                     stg.wage_range_to(w).alias("wage_rate_of_pay_to"))
 
 
 def q_staging_align_years(spark, sf):
-    y = fx.yearly_applications(spark, sf)
+    y = t.yearly(spark, sf)
     return stg.aligned_union(y, stg.JOB_COLUMNS, stg.JOB_ALIGN, None, stg.JOB_TYPES, tag_year=True).select(
         "source_year", "employer_name", "employer_city", "employment_start_date", "wage_rate_of_pay_from",
         "wage_rate_of_pay_to", "full_time_position", "prevailing_wage", "pw_source", "pw_source_year", "pw_source_other",
@@ -86,14 +83,11 @@ def q_staging_align_years(spark, sf):
 
 
 def q_valid_applications(spark, sf):
-    y = fx.yearly_applications(spark, sf)
-    return stg.aligned_union(y, ("case_number", "employer_name", "employer_city"), {}, stg.valid_employer(), tag_year=True)
+    return stg.aligned_union(t.yearly(spark, sf), ("case_number", "employer_name", "employer_city"), {}, stg.valid_employer, tag_year=True)
 
 
 def q_distinct_employers(spark, sf):
-    y = fx.yearly_applications(spark, sf)
-    cols = ("employer_name", "employer_city", "employer_state")
-    return stg.aligned_union(y, cols, {}, None).distinct()
+    return stg.aligned_union(t.yearly(spark, sf), ("employer_name", "employer_city", "employer_state"), {}).distinct()
 
 
 def q_surrogate_keys(spark, sf):
@@ -134,23 +128,23 @@ def q_wage_field_repair(spark, sf):
 
 
 def q_registrations_join_on_filters(spark, sf):
-    return registry_branch(SPECS_BY_STATE["GA"], fx.registry_sources(spark, sf))
+    return registry_branch(SPECS_BY_STATE["GA"], fx.two_part_registries(spark, sf))
 
 
 def q_registrations_join_distinct(spark, sf):
-    src = fx.registry_sources(spark, sf)
+    src = fx.two_part_registries(spark, sf)
     return registry_branch(SPECS_BY_STATE["MN"], src).unionByName(registry_branch(SPECS_BY_STATE["MO"], src))
 
 
 def q_ct_city_extract(spark, sf):
-    ct = fx.registry_sources(spark, sf)["CT"]
+    ct = fx.shared_registries(spark, sf).table("CT")
     return ct.select(F.col("business_id").cast("string").alias("corporation_id"), "business_address",
                      ct_city(F.col("business_address")).alias("city_part"))
 
 
 def q_application_attorney_left_join(spark, sf):
     from recordforge.operators.link import left_join_spread_nulls
-    y = fx.yearly_applications(spark, sf)
+    y = t.yearly(spark, sf)
     apps = stg.application_rows(y).select("case_number", "agent_attorney_name", "agent_attorney_city")
     return left_join_spread_nulls(apps, stg.attorney_dim(y), ["agent_attorney_name", "agent_attorney_city"],
                                   ["attorney_name", "attorney_city"]).select(

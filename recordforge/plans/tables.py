@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from recordforge.functions.text import normalize_org_name
 from recordforge.operators import staging as stg
 from recordforge.operators.dedup import first_per_key
-from recordforge.operators.link import link_to_first
+from recordforge.operators.link import join_hot_keys_apart, link_to_first, spread_join
 from recordforge.operators.registrations import clean_registrations, merge_registrations, registration_rejects as rejected_registrations
 from recordforge.operators.repair import (
     link_city,
@@ -40,8 +40,8 @@ JOB_OUTPUT = (
 APPLICATION_OUTPUT = ("case_number", "case_status", "case_submitted", "decision_date", "visa_class", "employer_id", "attorney_id")
 
 
-def yearly(spark: SparkSession, sf: str):
-    return fx.yearly_applications(spark, sf)
+def yearly(spark: SparkSession, sf: str) -> stg.Yearly:
+    return fx.shared_applications(spark, sf)
 
 
 # -- staging -----------------------------------------------------------------------------
@@ -93,24 +93,46 @@ def with_link_key(df: DataFrame) -> DataFrame:
     }).filter(F.col("employer_city").isNotNull())
 
 
-def link_rejects(staged: DataFrame, employers: DataFrame) -> DataFrame:
-    """Staged jobs or applications that get no employer, as they came, with a reason."""
-    whole = F.struct(*[F.col(x) for x in staged.columns]).alias("_row")
-    keyed = staged.select(whole, normalize_org_name(F.col("employer_name")).alias("employer_name"),
-                          link_city(F.col("employer_city"), F.col("employer_state")).alias("employer_city"))
-    # rows without a city never match: they stay out of the join, where one task would get them all
-    no_city = keyed.filter(F.col("employer_city").isNull()).select("_row.*", F.lit("no city after repair").alias("reject_reason"))
-    unlinked = (keyed.filter(F.col("employer_city").isNotNull()).join(employers.select(*EMPLOYER_KEY), EMPLOYER_KEY, "left_anti")
-                .select("_row.*", F.lit("no employer with this name and city").alias("reject_reason")))
-    return no_city.unionByName(unlinked)
+NO_CITY = "no city after repair"
+NO_EMPLOYER = "no employer with this name and city"
+
+
+def attach_employer(staged: DataFrame, employers: DataFrame, hot_limit: int = 0) -> DataFrame:
+    """Every staged job or application with its employer's id, or a reason why it has none.
+
+    One left join gives the linked and the unlinked rows.  Columns: the staged ones, ``link_name`` and ``link_city``
+    (the repaired key), ``employer_id``, ``reject_reason``.  Rows without a city match nothing and are spread over all tasks; a hot key
+    is split, linked or not.  ``hot_limit=N`` is for employers bucketed by their key: they are not
+    shuffled, and jobs of a key with more than one N-th of all rows are joined apart.
+    """
+    name, city = "link_name", "link_city"
+    keyed = staged.withColumns({name: normalize_org_name(F.col("employer_name")),
+                                city: link_city(F.col("employer_city"), F.col("employer_state"))})
+    by_key = employers.select("employer_id", F.col("employer_name").alias(name), F.col("employer_city").alias(city))
+    if hot_limit:
+        linked = join_hot_keys_apart(keyed, by_key, [name, city], "left", hot_limit)
+    else:
+        linked = spread_join(keyed, by_key, [name, city], "left")
+    return linked.withColumn("reject_reason", F.when(F.col(city).isNull(), NO_CITY).when(F.col("employer_id").isNull(), NO_EMPLOYER))
+
+
+def link_rejects(links: DataFrame) -> DataFrame:
+    """The jobs or applications of ``attach_employer`` that get no employer, as they came, with a reason."""
+    return links.filter(F.col("employer_id").isNull()).drop("link_name", "link_city", "employer_id")
+
+
+def linked_rows(links: DataFrame) -> DataFrame:
+    """The jobs or applications of ``attach_employer`` that have an employer, under their repaired key."""
+    return links.filter(F.col("employer_id").isNotNull()).withColumns(
+        {"employer_name": F.col("link_name"), "employer_city": F.col("link_city")}).drop("link_name", "link_city", "reject_reason")
 
 
 def job_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    return link_rejects(job_temp(spark, sf), employer(spark, sf))
+    return link_rejects(attach_employer(job_temp(spark, sf), employer(spark, sf)))
 
 
 def application_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    return link_rejects(application_temp(spark, sf), employer(spark, sf))
+    return link_rejects(attach_employer(application_temp(spark, sf), employer(spark, sf)))
 
 
 def job_repaired(jobs: DataFrame) -> DataFrame:
@@ -123,20 +145,21 @@ def job(spark: SparkSession, sf: str, employers: DataFrame | None = None, staged
     """Job: cleaned jobs linked to their employer's id."""
     emp = (employers if employers is not None else employer(spark, sf)).select("employer_id", *EMPLOYER_KEY)
     jobs = job_repaired(with_link_key(staged if staged is not None else job_temp(spark, sf)))
-    return link_to_first(jobs, emp, EMPLOYER_KEY, "employer_id", right_unique=True).select(*JOB_OUTPUT)
+    # an Employer computed here comes out of an aggregate by the link key, a given one out of a written table
+    return link_to_first(jobs, emp, EMPLOYER_KEY, "employer_id", right_unique=True, spread=employers is None).select(*JOB_OUTPUT)
 
 
 def application(spark: SparkSession, sf: str, employers: DataFrame | None = None, staged: DataFrame | None = None) -> DataFrame:
     """Application: applications linked to their employer's id."""
     emp = (employers if employers is not None else employer(spark, sf)).select("employer_id", *EMPLOYER_KEY)
     apps = with_link_key(staged if staged is not None else application_temp(spark, sf))
-    return link_to_first(apps, emp, EMPLOYER_KEY, "employer_id", right_unique=True).select(*APPLICATION_OUTPUT)
+    return link_to_first(apps, emp, EMPLOYER_KEY, "employer_id", right_unique=True, spread=employers is None).select(*APPLICATION_OUTPUT)
 
 
 # -- registrations, wages, geography -------------------------------------------------------
 
 def registrations_merged(spark: SparkSession, sf: str) -> DataFrame:
-    return merge_registrations(fx.registry_sources(spark, sf))
+    return merge_registrations(fx.two_part_registries(spark, sf), shared=fx.shared_registries(spark, sf))
 
 
 def registrations_cleaned(spark: SparkSession, sf: str) -> DataFrame:

@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from recordforge.operators.branches import SharedTables
+
 # Fixed values of the fixtures: 13 registry states followed by TX and FL, two letters each.
 STATE_CODES = "AZCACOCTGAMAMNMONCNYOHVAWATXFL"
 REGISTRY_STATES = ("AZ", "CA", "CO", "CT", "GA", "MA", "MN", "MO", "NC", "NY", "OH", "VA", "WA")
@@ -53,6 +55,11 @@ def _s(x: Column) -> Column:
     return x.cast("string")
 
 
+def _named(*kept: str, **columns: Column) -> dict[str, Column]:
+    """Columns by name: those taken as they are, then the computed ones."""
+    return {**{n: F.col(n) for n in kept}, **columns}
+
+
 # --------------------------------------------------------------------------------------
 # Applications (one row per order), then the four yearly tables with their schema drift.
 # --------------------------------------------------------------------------------------
@@ -136,9 +143,8 @@ def applications_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def yearly_applications(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
-    """The four yearly application tables, each with its own column names and types."""
-    a = applications_base(spark, sf_dir)
+def shared_applications(spark: SparkSession, sf_dir: str) -> SharedTables:
+    """The four yearly application tables, each with its own column names and types, over one scan of the orders."""
     k = F.col("k")
     common = [
         "case_number", "case_status", "visa_class", "employer_name", "employer_city", "employer_state",
@@ -148,55 +154,38 @@ def yearly_applications(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame
         "total_workers", "pw_unit_of_pay",
     ]
     phone_text = F.concat(_s(F.col("phone_number")), F.lit(".0"))
-    date_text = {n: _s(F.col(n)).alias(n) for n in ("employment_start_date", "employment_end_date")}
-    case_text = {
-        n: F.when(k % 83 == 0, F.lit("N/A")).otherwise(_s(F.col(n))).alias(n)
-        for n in ("case_submitted", "decision_date")
-    }
+    date_text = {n: _s(F.col(n)) for n in ("employment_start_date", "employment_end_date")}
+    case_text = {n: F.when(k % 83 == 0, F.lit("N/A")).otherwise(_s(F.col(n))) for n in ("case_submitted", "decision_date")}
     ftp_text = (
         F.when(k % 8 == 1, F.lit("Y"))
         .when(F.col("full_time_position"), F.lit("true"))
         .otherwise(F.lit("false"))
     )
-    out: dict[int, DataFrame] = {}
-    out[2018] = a.filter(F.col("yr") == 2018).select(
-        *common,
-        "employer_address",
-        F.col("phone_number").alias("employer_phone"),
-        F.when(F.col("h1b_dependent"), "Y").otherwise("N").alias("h1b_dependent"),
-        "employment_start_date", "employment_end_date",
-        F.when(k % 79 == 0, F.lit("abc")).otherwise(_s(F.col("wage_rate_of_pay_from"))).alias("wage_rate_of_pay_from"),
-        "wage_rate_of_pay_to",
-        ftp_text.alias("full_time_position"),
-        _s(F.col("prevailing_wage")).alias("prevailing_wage"),
-        "pw_source", "pw_source_year", "pw_source_other",
-        "case_submitted", "decision_date",
+    out: dict[int, dict[str, Column]] = {}
+    out[2018] = _named(
+        *common, "employer_address", "employment_start_date", "employment_end_date", "wage_rate_of_pay_to",
+        "pw_source", "pw_source_year", "pw_source_other", "case_submitted", "decision_date",
+        employer_phone=F.col("phone_number"),
+        h1b_dependent=F.when(F.col("h1b_dependent"), "Y").otherwise("N"),
+        wage_rate_of_pay_from=F.when(k % 79 == 0, F.lit("abc")).otherwise(_s(F.col("wage_rate_of_pay_from"))),
+        full_time_position=ftp_text,
+        prevailing_wage=_s(F.col("prevailing_wage")),
     )
-    out[2017] = a.filter(F.col("yr") == 2017).select(
-        *common,
-        "employer_address",
-        phone_text.alias("employer_phone"),
-        "h1b_dependent",
-        *date_text.values(),
-        "wage_rate_of_pay_from", "wage_rate_of_pay_to",
-        "full_time_position",
-        "prevailing_wage",
-        "pw_source", _s(F.col("pw_source_year")).alias("pw_source_year"), "pw_source_other",
-        *case_text.values(),
+    out[2017] = _named(
+        *common, "employer_address", "h1b_dependent", "wage_rate_of_pay_from", "wage_rate_of_pay_to", "full_time_position",
+        "prevailing_wage", "pw_source", "pw_source_other",
+        employer_phone=phone_text,
+        pw_source_year=_s(F.col("pw_source_year")),
+        **date_text, **case_text,
     )
-    out[2016] = a.filter(F.col("yr") == 2016).select(
-        *common,
-        "employer_address",
-        phone_text.alias("employer_phone"),
-        "h1b_dependent",
-        *date_text.values(),
-        "wage_rate_of_pay_from", "wage_rate_of_pay_to",
-        ftp_text.alias("full_time_position"),
-        "prevailing_wage",
-        F.col("pw_source").alias("pw_wage_source"),
-        _s(F.col("pw_source_year")).alias("pw_wage_source_year"),
-        F.col("pw_source_other").alias("pw_wage_source_other"),
-        *case_text.values(),
+    out[2016] = _named(
+        *common, "employer_address", "h1b_dependent", "wage_rate_of_pay_from", "wage_rate_of_pay_to", "prevailing_wage",
+        employer_phone=phone_text,
+        full_time_position=ftp_text,
+        pw_wage_source=F.col("pw_source"),
+        pw_wage_source_year=_s(F.col("pw_source_year")),
+        pw_wage_source_other=F.col("pw_source_other"),
+        **date_text, **case_text,
     )
     frm = _s(F.col("wage_rate_of_pay_from").cast("bigint"))
     to = _s(F.col("wage_rate_of_pay_to").cast("bigint"))
@@ -206,20 +195,20 @@ def yearly_applications(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame
         .when(k % 3 == 0, F.concat(frm, F.lit(" -")))
         .otherwise(F.concat(frm, F.lit(" - "), to))
     )
-    out[2015] = a.filter(F.col("yr") == 2015).select(
-        *common,
-        F.col("employer_address").alias("employer_address1"),
-        "employer_address2",
-        phone_text.alias("employer_phone"),
-        "h1b_dependent",
-        *date_text.values(),
-        wage_range.alias("wage_rate_of_pay"),
-        "full_time_position",
-        "prevailing_wage",
-        "pw_source", F.col("pw_source_year").alias("pw_wage_source_year"), "pw_source_other",
-        *case_text.values(),
+    out[2015] = _named(
+        *common, "employer_address2", "h1b_dependent", "full_time_position", "prevailing_wage", "pw_source", "pw_source_other",
+        employer_address1=F.col("employer_address"),
+        employer_phone=phone_text,
+        wage_rate_of_pay=wage_range,
+        pw_wage_source_year=F.col("pw_source_year"),
+        **date_text, **case_text,
     )
-    return out
+    return SharedTables(applications_base(spark, sf_dir), {y: F.col("yr") == y for y in out}, out)
+
+
+def yearly_applications(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
+    """The four yearly application tables as frames of their own."""
+    return shared_applications(spark, sf_dir).tables()
 
 
 # --------------------------------------------------------------------------------------
@@ -233,7 +222,11 @@ def _areas_by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def yearly_wages(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
+def _by_year(rows: DataFrame, columns: tuple[str, ...]) -> SharedTables:
+    return SharedTables(rows, {y: F.col("yr") == y for y in YEARS}, {y: _named(*columns) for y in YEARS})
+
+
+def yearly_wages(spark: SparkSession, sf_dir: str) -> SharedTables:
     """All_Industries_Wages_{year}: Area, SocCode, Average (hourly, annual or junk averages)."""
     socs = F.array(*[F.lit(j) for j in range(len(SOC_NAMES))])
     g = _areas_by_year(spark, sf_dir).select("Area", "yr", F.explode(socs).alias("j"))
@@ -247,17 +240,17 @@ def yearly_wages(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
         .otherwise(((area * 977 + j * 131 + yr * 7) % 60000 + 30000).cast("double"))
     )
     w = g.select("yr", "Area", F.concat(F.lit("15-113"), _s(j)).alias("SocCode"), avg.alias("Average"))
-    return {y: w.filter(F.col("yr") == y).drop("yr") for y in YEARS}
+    return _by_year(w, ("Area", "SocCode", "Average"))
 
 
-def yearly_geography(spark: SparkSession, sf_dir: str) -> dict[int, DataFrame]:
+def yearly_geography(spark: SparkSession, sf_dir: str) -> SharedTables:
     """Geography_{year}: Area, StateAb, CountyTownName."""
     g = _areas_by_year(spark, sf_dir).select(
         "yr", "Area",
         state_code(F.col("Area")).alias("StateAb"),
         F.concat(F.lit("KING "), _s(F.col("Area"))).alias("CountyTownName"),
     )
-    return {y: g.filter(F.col("yr") == y).drop("yr") for y in YEARS}
+    return _by_year(g, ("Area", "StateAb", "CountyTownName"))
 
 
 # --------------------------------------------------------------------------------------
@@ -296,8 +289,35 @@ def registrations_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def registry_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """The registries of the 13 states, each with its own column names (GA, MN, MO in two parts)."""
+def shared_registries(spark: SparkSession, sf_dir: str) -> SharedTables:
+    """The registries kept as one table each, every one with its own column names, over one scan of the customers."""
+    c, fs = F.col("c"), F.col("filter_state")
+    name, city, reg_date, reg_text = (F.col(x) for x in ("name", "city", "reg_date", "reg_text"))
+    out = {
+        "AZ": _named(File_Number=_s(c), Corporation_Name=name, First_Address_City=city, First_Address_State=fs,
+                     Date_of_Incorporation=reg_date),
+        "CA": _named(corporation_number=c, corporation_name=name, mail_address_city=city, mail_address_state_or_country=fs,
+                     corporation_type=F.when(c % 13 == 0, "Statement of Information").otherwise("Articles of Incorporation"),
+                     incorporation_date=reg_date),
+        "CO": _named(entity_id=c, entity_name=name, entity_principal_city=city, entity_principal_state=fs,
+                     entity_formation_date=reg_date),
+        "CT": _named(business_id=c, business_name=name, business_address=F.col("address"),
+                     registration_date=F.when(c % 19 == 0, F.lit(None).cast("string")).otherwise(reg_text)),
+        "MA": _named(FEIN=_s(c), EntityName=name, City=city, State=fs, DateOfOrganization=reg_text),
+        "NC": _named(sosid=_s(c), corpname=name, princity=city, prinstate=fs, dateformed=reg_text),
+        "NY": _named(dos_id=c, current_entity_name=name, dos_process_city=city,
+                     jurisdiction=F.when(c % 11 == 0, "DELAWARE").otherwise("NEW YORK"), initial_dos_filing_date=reg_date),
+        "OH": _named(charter_num=_s(c), business_name=name, business_location_name=city, business_state=fs,
+                     effective_date_time=reg_text),
+        "VA": _named(corporation_id=_s(c), corporation_name=name, prinicipal_city=city, principal_state=fs,
+                     incorporation_date=reg_text),
+        "WA": _named(UBI=c, BusinessName=name, RegisteredAgentCity=city, StateOfIncorporation=fs, DateOfIncorporation=reg_text),
+    }
+    return SharedTables(registrations_base(spark, sf_dir), {x: F.col("state") == x for x in out}, out)
+
+
+def two_part_registries(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The registries kept in two tables (GA, MN, MO), each table a frame of its own."""
     r = registrations_base(spark, sf_dir)
     c = F.col("c")
     fs = F.col("filter_state")
@@ -306,77 +326,26 @@ def registry_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
         return r.filter(F.col("state") == state)
 
     dup = F.explode(F.when(c % 5 == 0, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
-    src: dict[str, DataFrame] = {}
-    src["AZ"] = of("AZ").select(
-        _s(c).alias("File_Number"), F.col("name").alias("Corporation_Name"),
-        F.col("city").alias("First_Address_City"), fs.alias("First_Address_State"),
-        F.col("reg_date").alias("Date_of_Incorporation"),
-    )
-    src["CA"] = of("CA").select(
-        c.alias("corporation_number"), F.col("name").alias("corporation_name"),
-        F.col("city").alias("mail_address_city"), fs.alias("mail_address_state_or_country"),
-        F.when(c % 13 == 0, "Statement of Information").otherwise("Articles of Incorporation").alias("corporation_type"),
-        F.col("reg_date").alias("incorporation_date"),
-    )
-    src["CO"] = of("CO").select(
-        c.alias("entity_id"), F.col("name").alias("entity_name"),
-        F.col("city").alias("entity_principal_city"), fs.alias("entity_principal_state"),
-        F.col("reg_date").alias("entity_formation_date"),
-    )
-    src["CT"] = of("CT").select(
-        c.alias("business_id"), F.col("name").alias("business_name"),
-        F.col("address").alias("business_address"),
-        F.when(c % 19 == 0, F.lit(None).cast("string")).otherwise(F.col("reg_text")).alias("registration_date"),
-    )
-    src["GA_1"] = of("GA").select(
-        c.alias("bizentityid"), F.col("name").alias("businessname"), F.col("reg_text").alias("commencementdate"),
-    )
-    src["GA_2"] = of("GA").select(
-        c.alias("bizentityid"),
-        F.when(c % 17 == 0, F.lit("0")).otherwise(F.col("city")).alias("city"),
-        fs.alias("state"),
-        dup.alias("copy"),
-    ).drop("copy")
-    src["MA"] = of("MA").select(
-        _s(c).alias("FEIN"), F.col("name").alias("EntityName"), F.col("city").alias("City"),
-        fs.alias("State"), F.col("reg_text").alias("DateOfOrganization"),
-    )
-    src["MN_1"] = of("MN").select(
-        _s(c).alias("master_id"), F.col("name").alias("minnesota_business_name"), F.col("reg_text").alias("filing_date"),
-    )
-    src["MN_2"] = of("MN").select(
-        _s(c).alias("master_id"), F.col("city").alias("city_name"), fs.alias("region_code"), dup.alias("copy"),
-    ).drop("copy")
-    src["MO_1"] = of("MO").select(c.alias("corporation_id"), F.col("name").alias("name"))
-    src["MO_2"] = of("MO").select(
-        c.alias("corporation_id"), F.col("city").alias("city"), fs.alias("state"),
-        F.col("reg_text").alias("date_formed"), dup.alias("copy"),
-    ).drop("copy")
-    src["NC"] = of("NC").select(
-        _s(c).alias("sosid"), F.col("name").alias("corpname"), F.col("city").alias("princity"),
-        fs.alias("prinstate"), F.col("reg_text").alias("dateformed"),
-    )
-    src["NY"] = of("NY").select(
-        c.alias("dos_id"), F.col("name").alias("current_entity_name"), F.col("city").alias("dos_process_city"),
-        F.when(c % 11 == 0, "DELAWARE").otherwise("NEW YORK").alias("jurisdiction"),
-        F.col("reg_date").alias("initial_dos_filing_date"),
-    )
-    src["OH"] = of("OH").select(
-        _s(c).alias("charter_num"), F.col("name").alias("business_name"),
-        F.col("city").alias("business_location_name"), fs.alias("business_state"),
-        F.col("reg_text").alias("effective_date_time"),
-    )
-    src["VA"] = of("VA").select(
-        _s(c).alias("corporation_id"), F.col("name").alias("corporation_name"),
-        F.col("city").alias("prinicipal_city"), fs.alias("principal_state"),
-        F.col("reg_text").alias("incorporation_date"),
-    )
-    src["WA"] = of("WA").select(
-        c.alias("UBI"), F.col("name").alias("BusinessName"), F.col("city").alias("RegisteredAgentCity"),
-        fs.alias("StateOfIncorporation"), F.col("reg_text").alias("DateOfIncorporation"),
-    )
-    return src
+    return {
+        "GA_1": of("GA").select(
+            c.alias("bizentityid"), F.col("name").alias("businessname"), F.col("reg_text").alias("commencementdate")),
+        "GA_2": of("GA").select(
+            c.alias("bizentityid"), F.when(c % 17 == 0, F.lit("0")).otherwise(F.col("city")).alias("city"),
+            fs.alias("state"), dup.alias("copy")).drop("copy"),
+        "MN_1": of("MN").select(
+            _s(c).alias("master_id"), F.col("name").alias("minnesota_business_name"), F.col("reg_text").alias("filing_date")),
+        "MN_2": of("MN").select(
+            _s(c).alias("master_id"), F.col("city").alias("city_name"), fs.alias("region_code"), dup.alias("copy")).drop("copy"),
+        "MO_1": of("MO").select(c.alias("corporation_id"), F.col("name").alias("name")),
+        "MO_2": of("MO").select(
+            c.alias("corporation_id"), F.col("city").alias("city"), fs.alias("state"),
+            F.col("reg_text").alias("date_formed"), dup.alias("copy")).drop("copy"),
+    }
+
 
+def registry_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The registries of the 13 states as frames of their own (GA, MN, MO in two parts)."""
+    return {**shared_registries(spark, sf_dir).tables(), **two_part_registries(spark, sf_dir)}
 
 
 # --------------------------------------------------------------------------------------
