@@ -60,7 +60,7 @@ ATTORNEY_FIELDS = ("agent_representing_employer", "agent_attorney_name", "agent_
 
 
 def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
-    """Strip and split every line; keeps the text, the field array and the field count.
+    """Strip and split every line; keeps the text, the field array, the field count and the lines' other columns (their origin).
 
     The split array comes out of a one-element ``explode``: Catalyst pushes the later
     field-count filters below projections by inlining the projected expression, which would
@@ -68,14 +68,16 @@ def parse_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     filter on a generated column below its generator, so each line is split exactly once.
     """
     fields = F.split(F.btrim(F.col(value_col), F.lit(WHITESPACE)), F.lit("\t"), -1)
-    return lines.select(F.col(value_col).alias("line"), F.explode(F.array(fields)).alias("fields")).withColumn(
+    others = [c for c in lines.columns if c != value_col]
+    return lines.select(F.col(value_col).alias("line"), *others, F.explode(F.array(fields)).alias("fields")).withColumn(
         "field_count", F.size("fields"))
 
 
 def rejects(parsed: DataFrame) -> DataFrame:
-    """Lines with fewer than the 41 required fields (the reference stops on them)."""
+    """Lines with fewer than the 41 required fields (the reference stops on them), and where they came from if that is known."""
+    others = [c for c in parsed.columns if c not in ("line", "fields", "field_count")]
     return parsed.filter(F.col("field_count") < REQUIRED_FIELDS).select(
-        "line", "field_count", F.lit("fewer than 41 fields").alias("reject_reason"))
+        "line", "field_count", F.lit("fewer than 41 fields").alias("reject_reason"), *others)
 
 
 def wide_records(parsed: DataFrame) -> DataFrame:

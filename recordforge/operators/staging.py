@@ -126,6 +126,15 @@ APPLICATION_ALIGN: Rules = {
 }
 
 
+#: columns and types every yearly table must give after its rules, per staging table (``sources.yearly.check_drift``)
+STAGED: tuple[tuple[Mapping[str, str], Rules], ...] = (
+    ({**dict.fromkeys(EMPLOYER_COLUMNS, "string"), "h1b_dependent": "boolean", "willful_violator": "boolean"}, EMPLOYER_ALIGN),
+    ({**dict.fromkeys(JOB_COLUMNS, "string"), **JOB_TYPES}, JOB_ALIGN),
+    ({**dict.fromkeys(APPLICATION_COLUMNS, "string"), "case_submitted": "date", "decision_date": "date"}, APPLICATION_ALIGN),
+    (dict.fromkeys(("agent_attorney_name", "agent_attorney_city", "agent_attorney_state"), "string"), {}),
+)
+
+
 def _aligned(c: Accessor, year: int, columns: tuple[str, ...], mapping: Rules, types: Mapping[str, str] | None) -> list[Column]:
     rules = mapping.get(year, {})
     out = []

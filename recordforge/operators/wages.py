@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordforge.functions.text import round_half_up
-from recordforge.operators.staging import Yearly, aligned_union
+from recordforge.operators.staging import Yearly, align, aligned_union
 
 HOURS_PER_DAY = 8
 DAYS_PER_YEAR = 365
@@ -43,6 +43,16 @@ def _geography_rules(year: int) -> dict:
     }
 
 
+def wages_of_year(table: DataFrame, year: int) -> DataFrame:
+    """One year's wage table in the merged shape."""
+    return align(table, year, WAGE_COLUMNS, {year: _wage_rules(year)})
+
+
+def geography_of_year(table: DataFrame, year: int) -> DataFrame:
+    """One year's geography table in the merged shape."""
+    return align(table, year, GEOGRAPHY_COLUMNS, {year: _geography_rules(year)})
+
+
 def merge_wages(yearly: Yearly) -> DataFrame:
     """All_Industries_Wages(area, year, soc_code, annual_salary) from the yearly tables."""
     return aligned_union(yearly, WAGE_COLUMNS, {y: _wage_rules(y) for y in yearly})

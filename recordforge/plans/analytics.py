@@ -13,6 +13,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from recordforge.functions.exact import exact_sum, mean_difference, rounded_quotient
 from recordforge.functions.text import round_half_up, year_boundaries_between
 from recordforge.operators.link import spread_join
 
@@ -143,14 +144,32 @@ def computed_once(df: DataFrame) -> DataFrame:
 
 
 def salary_delta_by_occupation(comparison: DataFrame) -> DataFrame:
-    """V7: average offered and average national pay per occupation, and their difference."""
-    return comparison.groupBy("soc_code", "soc_name").agg(
-        round_half_up(F.avg("h1b_job_salary")).alias("h1b_job_pay"),
-        round_half_up(F.avg("national_average_salary")).alias("national_average_pay"),
-        round_half_up(F.avg("h1b_job_salary") - F.avg("national_average_salary")).alias("h1b_minus_national_delta"),
+    """V7: average offered and average national pay per occupation, and their difference.
+
+    Sums are exact, so the result is the same however the rows are spread.
+    """
+    offered, usual = F.col("h1b_job_salary"), F.col("national_average_salary")
+    sums = comparison.groupBy("soc_code", "soc_name").agg(
+        exact_sum(offered).alias("_s1"), F.count(offered).alias("_n1"), exact_sum(usual).alias("_s2"), F.count(usual).alias("_n2"))
+    s1, n1, s2, n2 = (F.col(c) for c in ("_s1", "_n1", "_s2", "_n2"))
+    return sums.select(
+        "soc_code", "soc_name",
+        rounded_quotient(s1, n1).alias("h1b_job_pay"),
+        rounded_quotient(s2, n2).alias("national_average_pay"),
+        mean_difference(s1, n1, s2, n2).alias("h1b_minus_national_delta"),
     )
 
 
+def present_tech_jobs(jobs: DataFrame) -> DataFrame:
+    """O1: tech jobs by occupation code (job id breaks ties)."""
+    return jobs.orderBy("soc_code", "job_id")
+
+
+def present_employer_ages(ages: DataFrame) -> DataFrame:
+    """O1: employers by name and state (registration date breaks ties)."""
+    return ages.orderBy("employer_name", "employer_state", "registration_date")
+
+
 def present_salary_comparison(comparison: DataFrame) -> DataFrame:
     """O1: the comparison ordered by delta, largest first (job id breaks ties)."""
     return comparison.orderBy(F.col("salary_delta").desc(), F.col("job_id"))

@@ -24,6 +24,7 @@ from recordforge.operators.repair import link_city, repair_soc, repair_wage_fiel
 from recordforge.plans import analytics as va
 from recordforge.plans import oracle_sql as o
 from recordforge.plans import tables as t
+from recordforge.plans.views import source
 from recordforge.sources import fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -169,6 +170,15 @@ def q_top_rows_by_name(spark, sf):
     return stg.sample_rows(t.employer_temp(spark, sf), 100, ["employer_name", "employer_id"])
 
 
+#: A text over two of the named views
+SALARIES_SQL = """
+WITH paid AS (SELECT year, count(*) AS wages_of_year FROM all_industries_wages WHERE annual_salary IS NOT NULL GROUP BY year)
+SELECT c.state, c.year, count(*) AS jobs, count_if(c.salary_label = 'JOB_SALARY_GREATER') AS above, first(p.wages_of_year) AS wages_of_year
+FROM v_tech_job_salary_comparison c JOIN paid p ON p.year = c.year
+GROUP BY c.state, c.year
+"""
+
+
 QUERIES: dict[str, Query] = {
     # flagship and views
     "employer_age_report": t.employer_age_report,
@@ -181,6 +191,9 @@ QUERIES: dict[str, Query] = {
     "salary_delta_by_occupation": t.salary_delta_by_occupation,
     "employer_age_report_sorted": lambda s, d: va.present_age_report(t.employer_age_report(s, d)),
     "salary_delta_by_occupation_sorted": lambda s, d: va.present_salary_delta(t.salary_delta_by_occupation(s, d)),
+    "tech_jobs_sorted": lambda s, d: va.present_tech_jobs(t.tech_jobs(s, d)),
+    "tech_employer_age_sorted": lambda s, d: va.present_employer_ages(t.tech_employer_age(s, d)),
+    "salaries_through_sql": lambda s, d: source(s, d, SALARIES_SQL),
     # staging
     "staging_align_years": q_staging_align_years,
     "valid_applications": q_valid_applications,
@@ -293,6 +306,13 @@ def _oracle() -> dict[str, str]:
         "registration_rejects": s("reg_rejects"),
         "employer_age_report_sorted": s("tech_employer_age_report",
                                         "SELECT * FROM tech_employer_age_report ORDER BY age_label, employer_state"),
+        "tech_jobs_sorted": s("tech_job", "SELECT * FROM tech_job ORDER BY soc_code, job_id"),
+        "tech_employer_age_sorted": s("tech_employer_age",
+                                      "SELECT * FROM tech_employer_age ORDER BY employer_name, employer_state, registration_date"),
+        "salaries_through_sql": o.with_ctes(["salary_comparison", "wages"], """
+            SELECT sc.state, sc.year, count(*) AS jobs, count(*) FILTER (WHERE sc.salary_label = 'JOB_SALARY_GREATER') AS above,
+                   (SELECT count(*) FROM wages a WHERE a.year = sc.year AND a.annual_salary IS NOT NULL) AS wages_of_year
+            FROM salary_comparison sc GROUP BY sc.state, sc.year"""),
         "salary_delta_by_occupation_sorted": s("salary_delta_by_occupation", """
             SELECT * FROM salary_delta_by_occupation ORDER BY h1b_minus_national_delta DESC, soc_code, soc_name"""),
         "job_link_employer": s("job"),

@@ -7,23 +7,29 @@ executor re-runs only the step at hand).  The output folder must be shared stora
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from recordforge import schemas
 from recordforge.operators import staging as stg
 from recordforge.operators.extract import split_extract
-from recordforge.operators.registrations import clean_registrations, registration_rejects
+from recordforge.operators.registrations import RegistrySpec, clean_registrations, registration_rejects, registry_branch
 from recordforge.operators.repair import repair_employers
 from recordforge.plans import analytics as va
 from recordforge.plans import tables as t
-from recordforge.sources.sinks import audit_stage, overwrite_existing, run_id, write_bucketed_table, write_partitioned, write_table
-from recordforge.sources.text_source import read_extract_lines
+from recordforge.operators.wages import geography_of_year, wages_of_year
+from recordforge.sources.sinks import (audit_stage, insert_partitions, overwrite_existing, run_id, write_bucketed_table, write_partitioned,
+                                       write_table)
+from recordforge.sources.text_source import read_extract_lines, with_line_numbers
+from recordforge.sources.yearly import check_drift, read_yearly
 
 
 def build_all(spark: SparkSession, sf_dir: str, out_dir: str, audit_dir: str | None = None,
               as_of: dt.date | None = None, employer_buckets: int = 0, employer_table: str = "employer_bucketed",
-              sample_rows: int | None = None, registrations_table: str | None = None) -> dict[str, str]:
+              sample_rows: int | None = None, registrations_table: str | None = None,
+              applications: str | None = None) -> dict[str, str]:
     """Build the staged, cleaned and linked tables, their rejects and the two reports.
 
     Every staged table is written once and read back by its consumers.  Ages are taken at ``as_of``, by default the
@@ -31,6 +37,9 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str, audit_dir: str | N
     (name, city), so the job and the application links read it without shuffling it again.
     ``sample_rows=N`` cleans and links only the first N rows of every staged table (a development run).
     ``registrations_table`` names an existing catalog table whose rows the cleaned registrations replace.
+    ``applications`` is a path pattern of yearly application tables to read instead of those derived from
+    ``sf_dir``.  Jobs and applications are joined with Employer once each: the join's rows, linked or not, are written
+    under ``_links`` and both the table and its rejects are read from there.
     With ``audit_dir`` every stage is also written there as JSON.
     """
     out = out_dir.rstrip("/")
@@ -50,10 +59,23 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str, audit_dir: str | N
     def stage(name: str, df: DataFrame, order: list[str]) -> DataFrame:
         return put(name, df if sample_rows is None else stg.sample_rows(df, sample_rows, order))
 
-    employer_temp = stage("employer_temp", t.employer_temp(spark, sf_dir), ["employer_name", "employer_id"])
-    attorney = put("attorney", t.attorney(spark, sf_dir), schemas.ATTORNEY)
-    job_temp = stage("job_temp", t.job_temp(spark, sf_dir), ["job_title", "job_id"])
-    application_temp = stage("application_temp", stg.application_staging(t.yearly(spark, sf_dir), attorney), ["case_number", "attorney_id"])
+    def link(name: str, staged: DataFrame, employers: DataFrame) -> tuple[DataFrame, DataFrame]:
+        links = t.attach_employer(staged, employers, hot_limit=4 * employer_buckets)
+        tagged = links.withColumn("linked", F.col("employer_id").isNotNull().cast("int"))
+        path = f"{out}/_links/{name}"
+        tagged.write.mode("overwrite").partitionBy("linked").parquet(path)
+        back = spark.read.schema(tagged.schema).parquet(path)
+        return back.filter("linked = 1").drop("linked"), back.filter("linked = 0").drop("linked")
+
+    yearly = t.yearly(spark, sf_dir)
+    if applications is not None:
+        yearly = read_yearly(spark, applications)
+        for columns, rules in stg.STAGED:
+            check_drift(yearly, columns, rules)
+    employer_temp = stage("employer_temp", stg.employer_staging(yearly), ["employer_name", "employer_id"])
+    attorney = put("attorney", stg.attorney_dim(yearly), schemas.ATTORNEY)
+    job_temp = stage("job_temp", stg.job_staging(yearly), ["job_title", "job_id"])
+    application_temp = stage("application_temp", stg.application_staging(yearly, attorney), ["case_number", "attorney_id"])
 
     put("employer_rejects", repair_employers(employer_temp)[1])
     if employer_buckets > 0:
@@ -63,10 +85,12 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str, audit_dir: str | N
         audit_stage(employer, audit_dir, run, "employer")
     else:
         employer = put("employer", t.build_employer(employer_temp), schemas.EMPLOYER)
-    job = put("job", t.job(spark, sf_dir, employer, job_temp), schemas.JOB)
-    put("job_rejects", t.link_rejects(job_temp, employer))
-    put("application", t.application(spark, sf_dir, employer, application_temp), schemas.APPLICATION)
-    put("application_rejects", t.link_rejects(application_temp, employer))
+    linked, unlinked = link("job", job_temp, employer)
+    job = put("job", t.job_repaired(t.linked_rows(linked)).select(*t.JOB_OUTPUT), schemas.JOB)
+    put("job_rejects", t.link_rejects(unlinked))
+    linked, unlinked = link("application", application_temp, employer)
+    put("application", t.linked_rows(linked).select(*t.APPLICATION_OUTPUT), schemas.APPLICATION)
+    put("application_rejects", t.link_rejects(unlinked))
 
     merged = put("registrations_merged", t.registrations_merged(spark, sf_dir), partition_by=["corporation_state"])
     regs = put("registrations_cleaned", clean_registrations(merged), partition_by=["corporation_state"])
@@ -84,13 +108,32 @@ def build_all(spark: SparkSession, sf_dir: str, out_dir: str, audit_dir: str | N
     return paths
 
 
+def insert_wages(spark: SparkSession, table: DataFrame, year: int, path: str) -> None:
+    """One year's wage table goes into the merged table at ``path``; run again, it replaces that year only."""
+    insert_partitions(wages_of_year(table, year), path, ["year"], ["area", "soc_code"], schemas.WAGES)
+
+
+def insert_geography(spark: SparkSession, table: DataFrame, year: int, path: str) -> None:
+    insert_partitions(geography_of_year(table, year), path, ["year"], ["area"], schemas.GEOGRAPHY)
+
+
+def insert_registry(spark: SparkSession, spec: RegistrySpec, sources: dict[str, DataFrame], path: str) -> None:
+    """One state's registry goes into the merged registrations at ``path``; run again, it replaces that state only."""
+    insert_partitions(registry_branch(spec, sources), path, ["corporation_state"], ["corporation_id"], schemas.REGISTRATIONS)
+
+
 def split_extract_files(spark: SparkSession, input_paths: str | list[str], out_dir: str) -> dict[str, str]:
-    """Split extract files into New_Application / New_Job / New_Employer / New_Attorney (+ rejects)."""
-    return write_extract(read_extract_lines(spark, input_paths), out_dir)
+    """Split extract files into New_Application / New_Job / New_Employer / New_Attorney (+ rejects).
+
+    Every reject names its file and its line there (``source_file``, ``source_line``).
+    """
+    lines = read_extract_lines(spark, input_paths, origin=True)
+    return write_extract(lines, out_dir, lambda rejects: with_line_numbers(rejects, spark, input_paths))
 
 
-def write_extract(lines: DataFrame, out_dir: str) -> dict[str, str]:
+def write_extract(lines: DataFrame, out_dir: str, name_rejects: Callable[[DataFrame], DataFrame] = lambda rejects: rejects) -> dict[str, str]:
     parts = split_extract(lines, persist=True)
+    parts["rejects"] = name_rejects(parts["rejects"])
     out = out_dir.rstrip("/")
     targets = {
         "application": schemas.NEW_APPLICATION, "job": schemas.NEW_JOB,
