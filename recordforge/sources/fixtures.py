@@ -39,6 +39,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def on_all_cores(df: DataFrame) -> DataFrame:
+    """Rows of a source with fewer splits than the session has cores, dealt over all cores; others as they are.
+
+    A source of many files is not shuffled.  One small file is a single task, whatever is computed from its rows.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def state_code(x: Column) -> Column:
     """ST(x): the two letters at position x % 15 of STATE_CODES."""
     return F.substr(F.lit(STATE_CODES), (x % 15) * 2 + 1, F.lit(2))
@@ -66,7 +75,8 @@ def _named(*kept: str, **columns: Column) -> dict[str, Column]:
 
 def applications_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All application fields in clean types, one row per order (before year drift)."""
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    # every row becomes some forty columns
+    o = on_all_cores(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_totalprice"))
     k, c = F.col("k"), F.col("c")
     b = F.expr("c div 3")
     i = b % 25
@@ -360,7 +370,7 @@ def _us_date(d: Column, padded: bool) -> Column:
 
 def extract_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``value`` line per application: 52 tab-separated fields, 41 when k % 3 = 0, 40 when k % 83 = 0."""
-    a = applications_base(spark, sf_dir)  # CPU-heavy line building: use every core
+    a = applications_base(spark, sf_dir)
     k, c = F.col("k"), F.col("c")
     n = F.col("w").cast("bigint")
     wage_text = F.when(
