@@ -4,8 +4,8 @@ A message whose text is a JSON object may hold ``tool_calls`` (id, name, argumen
 ``function``); one with ``tool_call_id`` is a result, and may hold calls of its own.  Any other text is plain.  Calls and results are joined by
 (conversation, identifier).  Messages keep their turn order, but for results that stand before the place of their call:
 those follow it, along chains of any length, and results at one place stand in the order of their calls, which is a
-topological order.  Arguments are checked against a schema per tool: required names, types
-and allowed values.  Every message becomes one JSON object with sorted names and no blanks; calls and results keep
+topological order.  Arguments, an object or its JSON as a text, are checked against a JSON schema per tool: types, allowed values,
+required, known and other names, at any depth.  Every message becomes one JSON object with sorted names and no blanks; calls and results keep
 all their fields, with the role of the row.
 
 Result: one row per message with its gapless ``position`` in the conversation (so that no
@@ -21,35 +21,62 @@ empty table.  DataFrame functions only.
 
 from __future__ import annotations
 
+import json
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordforge.llm.common import cut, with_rank
 
 CALL = "struct<id:string,valid:boolean>"
-TYPES = {"string": "STRING", "integer": "BIGINT", "boolean": "BOOLEAN", "object": "OBJECT", "array": "ARRAY"}
+#: JSON schema type -> beginnings of the variant types that have it
+TYPES = {"string": ("STRING",), "integer": ("BIGINT",), "number": ("BIGINT", "DOUBLE", "FLOAT", "DECIMAL"), "boolean": ("BOOLEAN",),
+         "object": ("OBJECT",), "array": ("ARRAY",), "null": ("VOID",)}
+
+
+def fits(value: Column, rule: dict) -> Column:
+    """True where a variant fits a JSON schema of type, enum, properties, required, additionalProperties and items.
+
+    What the schema does not mention is allowed, as in JSON schema; other keywords are not checked.
+    """
+    kind = F.schema_of_variant(value)
+    is_object, is_array = kind.startswith("OBJECT"), kind.startswith("ARRAY")
+    ok = F.lit(True)
+    if "type" in rule:
+        wanted = [rule["type"]] if isinstance(rule["type"], str) else rule["type"]
+        ok = reduce(Column.__or__, [kind.startswith(t) for w in wanted for t in TYPES[w]])
+    if "enum" in rule:
+        ok = ok & F.to_json(value).isin(*[json.dumps(x, ensure_ascii=False, separators=(",", ":")) for x in rule["enum"]])
+    # members by name, not by path: a name may hold any character
+    members = F.when(is_object, F.try_variant_get(value, "$", "map<string,variant>"))
+    for name, inner in rule.get("properties", {}).items():
+        ok = ok & F.when(is_object & F.map_contains_key(members, name), fits(F.try_element_at(members, F.lit(name)), inner)).otherwise(True)
+    for name in rule.get("required", []):
+        ok = ok & F.when(is_object, F.map_contains_key(members, name)).otherwise(True)
+    if rule.get("additionalProperties") is False:
+        known = F.array(*[F.lit(n) for n in rule.get("properties", {})]).cast("array<string>")
+        ok = ok & F.when(is_object, F.size(F.array_except(F.map_keys(members), known)) == 0).otherwise(True)
+    if "items" in rule:
+        ok = ok & F.when(is_array, F.forall(F.try_variant_get(value, "$", "array<variant>"), lambda x: fits(x, rule["items"]))).otherwise(True)
+    return F.coalesce(ok, F.lit(False))
 
 
 def arguments_valid(name: Column, arguments: Column, schemas: dict[str, dict]) -> Column:
-    """True where ``arguments`` (a variant) fits the schema of tool ``name``; false else, also for null."""
+    """True where ``arguments`` (a variant) is an object that fits the schema of tool ``name``; false else, also for null."""
+    is_object = F.coalesce(F.schema_of_variant(arguments).startswith("OBJECT"), F.lit(False))
     out = F.lit(False)
     for tool, schema in schemas.items():
-        ok = F.schema_of_variant(arguments).startswith("OBJECT")
-        for prop, rule in schema.get("properties", {}).items():
-            value = F.try_variant_get(arguments, f"$.{prop}", "variant")
-            kind = F.schema_of_variant(value)
-            if rule["type"] == "number":
-                fits = kind.isin("BIGINT", "DOUBLE", "FLOAT") | kind.startswith("DECIMAL")
-            else:
-                fits = kind.startswith(TYPES[rule["type"]])
-            if "enum" in rule:
-                fits = fits & F.try_variant_get(arguments, f"$.{prop}", "string").isin(*rule["enum"])
-            missing = F.lit(prop not in schema.get("required", []))
-            ok = ok & F.when(value.isNull(), missing).otherwise(F.coalesce(fits, F.lit(False)))
-        out = F.when(name == tool, F.coalesce(ok, F.lit(False))).otherwise(out)
+        out = F.when(name == tool, is_object & fits(arguments, schema)).otherwise(out)
     return out
 
 
+def unpacked(arguments: Column) -> Column:
+    """Arguments as chat data hold them: an object, or an object's JSON as a text."""
+    text = F.when(F.schema_of_variant(arguments) == "STRING", F.try_variant_get(arguments, "$", "string"))
+    return F.when(text.isNotNull(), F.try_parse_json(text)).otherwise(arguments)
+
+
 def with_role(variant: Column, role: Column) -> Column:
     """Canonical JSON of the object ``variant``, its ``role`` being that of the row, if there is one."""
     fields = F.try_variant_get(variant, "$", "map<string,variant>")
@@ -106,8 +133,8 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict], conv_col: str
               .withColumn("__v", F.when(F.col("__text").rlike(r"\A\s*\{"), F.try_parse_json("__text"))))
     raw = F.try_variant_get(F.col("__v"), "$.tool_calls", "array<variant>")
     name = lambda c: F.coalesce(F.try_variant_get(c, "$.name", "string"), F.try_variant_get(c, "$.function.name", "string"))
-    arguments = lambda c: F.coalesce(F.try_variant_get(c, "$.arguments", "variant"),
-                                     F.try_variant_get(c, "$.function.arguments", "variant"))
+    arguments = lambda c: unpacked(F.coalesce(F.try_variant_get(c, "$.arguments", "variant"),
+                                              F.try_variant_get(c, "$.function.arguments", "variant")))
     call = lambda c: F.struct(
         F.try_variant_get(c, "$.id", "string").alias("id"), arguments_valid(name(c), arguments(c), schemas).alias("valid"))
     base = cut(parsed.select(
@@ -142,7 +169,7 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict], conv_col: str
             .when(is_result, "orphan").otherwise("message"))
     # sorted names: to_json writes a struct's fields in the order given and leaves nulls out
     plain = F.to_json(F.struct(F.col("__text").alias("content"), F.col("__role").alias("role")))
-    json = F.when(kind == "message", plain).otherwise(F.col("__whole"))
+    written = F.when(kind == "message", plain).otherwise(F.col("__whole"))
     placed = linked.select(
         "__conv", "__turn", "__row", kind.alias("__kind"), F.size("__calls").cast("long").alias("__n_calls"),
         F.coalesce("__answered", F.lit(0)).cast("long").alias("__n_answered"),
@@ -150,7 +177,7 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict], conv_col: str
         F.coalesce("__duplicate", F.lit(0)).cast("long").alias("__n_duplicate"),
         # where the message stands: its turn, or the place of its call if that comes later
         F.when(F.col("__pr").isNull(), F.col("__turn")).otherwise(F.col("__place")).alias("__at"),
-        F.coalesce("__level", F.lit(0)).cast("long").alias("__after"), F.col("__first").alias("__call"), json.alias("__json"))
+        F.coalesce("__level", F.lit(0)).cast("long").alias("__after"), F.col("__first").alias("__call"), written.alias("__json"))
     ranked = with_rank(placed, ["__conv"], ["__at", "__after", "__call", "__turn", "__row"], name="positions")
     return ranked.select(F.col("__conv").alias(conv_col), F.col("__rank").alias("position"), F.col("__turn").alias(turn_col),
                          F.col("__kind").alias("kind"), F.col("__n_calls").alias("n_calls"), F.col("__n_answered").alias("n_answered"),

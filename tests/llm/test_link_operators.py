@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import random
-from collections import defaultdict
+from collections import Counter, defaultdict
 
 import xxhash
 from helpers import AWKWARD, documents, lower, words
@@ -306,6 +306,113 @@ def test_results_follow_moved_calls_and_keep_all_fields(spark):
     assert [r["turn"] for r in got[4]] == [20, *range(19, -1, -1)]
 
 
+SCHEMAS = {
+    "search": {"properties": {"query": {"type": "string"}, "limit": {"type": ["integer", "null"]}, "any": {}}, "required": ["query"]},
+    "order": {"type": "object", "additionalProperties": False, "required": ["a.b", "items"], "properties": {
+        "a.b": {"type": "number", "enum": [1, 2.5]},
+        "items": {"type": "array", "items": {"type": "object", "required": ["sku"], "properties": {"sku": {"type": "string", "enum": ["x", "é\"y"]}}}},
+        "to": {"type": "object", "properties": {"zip": {"type": "string"}}, "additionalProperties": False}}},
+}
+
+
+def python_fits(value, rule):
+    kinds = {"string": str, "boolean": bool, "object": dict, "array": list, "null": type(None)}
+
+    def is_a(kind):
+        if kind in ("integer", "number"):
+            return not isinstance(value, bool) and isinstance(value, int if kind == "integer" else (int, float))
+        return isinstance(value, kinds[kind])
+
+    wanted = rule.get("type", [])
+    if wanted and not any(map(is_a, [wanted] if isinstance(wanted, str) else wanted)):
+        return False
+    if "enum" in rule and value not in rule["enum"]:
+        return False
+    if isinstance(value, dict):
+        known = rule.get("properties", {})
+        return (all(python_fits(value[n], r) for n, r in known.items() if n in value) and all(n in value for n in rule.get("required", []))
+                and (rule.get("additionalProperties") is not False or set(value) <= set(known)))
+    return not isinstance(value, list) or all(python_fits(x, rule.get("items", {})) for x in value)
+
+
+def random_arguments(rng):
+    sku = lambda: rng.choice([{"sku": "x"}, {"sku": 'é"y'}, {"sku": "z"}, {}, {"sku": 1}, "x"])
+    return rng.choice([
+        {"query": "x", "limit": rng.choice([1, None, "1", 1.5, True])}, {"query": 1}, {"limit": 1}, {"query": "", "any": [1, {"a": None}], "more": 1},
+        {"a.b": rng.choice([1, 2.5, 2, "1", None]), "items": [sku() for _ in range(rng.randint(0, 3))]},
+        {"a.b": 1, "items": rng.choice([[], {}, None]), "to": rng.choice([{"zip": "1"}, {"zip": 1}, {"zap": "1"}, {}, []])},
+        {"a.b": 1, "items": [], "other": 1}, {"items": []}, [], "text", 3, None])
+
+
+def test_arguments_match_a_plain_validator(spark):
+    rng = random.Random(8)
+    calls = []
+    for k in range(300):
+        arguments = random_arguments(rng)
+        fitting = "search" if isinstance(arguments, dict) and "query" in arguments else "order"
+        tool = fitting if rng.random() < 0.8 else rng.choice(["search", "order", "unknown"])
+        held = arguments if k % 3 else json.dumps(arguments)  # as a text, as chat data hold them
+        call = {"id": str(k), "name": tool, "arguments": held} if k % 2 else {"id": str(k), "type": "function", "function": {"name": tool, "arguments": held}}
+        calls.append((call, isinstance(arguments, dict) and tool in SCHEMAS and python_fits(arguments, SCHEMAS[tool])))
+    rows = [(1, k, "assistant", json.dumps({"tool_calls": [c]})) for k, (c, _) in enumerate(calls)]
+    got = tool_calls.link_tool_calls(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), SCHEMAS)
+    assert {r["turn"]: r["n_valid"] for r in got.collect()} == {k: int(v) for k, (_, v) in enumerate(calls)}
+    assert 20 < sum(v for _, v in calls) < 280
+    broken = [(1, 0, "assistant", json.dumps({"tool_calls": [{"id": "a", "function": {"name": "search", "arguments": "{\"query\":"}}]}))]
+    got = tool_calls.link_tool_calls(spark.createDataFrame(broken, "conv_id long, turn long, role string, text string"), SCHEMAS)
+    assert got.first()["n_valid"] == 0
+
+
+def brute_links(rows):
+    """position of each row, and its kind, calls, answered and duplicate calls; no rings."""
+    out = {}
+    for conv in {r[0] for r in rows}:
+        mine = [(k, r[1], json.loads(r[3])) for k, r in enumerate(rows) if r[0] == conv]
+        first, duplicates = {}, Counter()
+        for k, turn, m in sorted(mine, key=lambda x: x[1::-1]):
+            for no, c in enumerate(m.get("tool_calls", [])):
+                if c["id"] in first:
+                    duplicates[k] += 1
+                else:
+                    first[c["id"]] = (turn, k, no)
+        answers = {k: first[m["tool_call_id"]] for k, _, m in mine if m.get("tool_call_id") in first}
+        turns = {k: turn for k, turn, _ in mine}
+
+        def way(k):
+            """Turn and step count of the messages on the way from a result over its call and on."""
+            steps = [(turns[k], 0)]
+            while k in answers:
+                k = answers[k][1]
+                steps.append((turns[k], len(steps)))
+            return max(steps)
+
+        order = sorted(mine, key=lambda x: (*way(x[0]), answers.get(x[0], ()), x[1], x[0]))
+        answered = Counter()
+        for c in set(answers.values()):
+            answered[c[1]] += 1
+        for position, (k, _, m) in enumerate(order):
+            n = len(m.get("tool_calls", []))
+            kind = "call" if n else "result" if k in answers else "orphan" if "tool_call_id" in m else "message"
+            out[conv, turns[k], position] = (kind, n, answered[k], duplicates[k])
+    return out
+
+
+def test_linking_of_random_conversations_matches_brute_force(spark):
+    rng = random.Random(9)
+    rows = []
+    for conv in range(12):
+        order = list(range(rng.randint(1, 25)))
+        for no, turn in enumerate(rng.sample(order, len(order))):  # calls of message no are answered by later numbers only: no rings
+            m = {"content": no}
+            if rng.random() < 0.5:
+                m["tool_calls"] = [{"id": f"c{no}.{i}" if rng.random() < 0.9 else "twice"} for i in range(rng.randint(1, 3))]
+            if no and rng.random() < 0.6:
+                m["tool_call_id"] = f"c{rng.randrange(no)}.{rng.randrange(3)}"
+            rows.append((conv, turn, "assistant", json.dumps(m)))
+    got = tool_calls.link_tool_calls(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string"), {})
+    assert {(r["conv_id"], r["turn"], r["position"]): (r["kind"], r["n_calls"], r["n_answered"], r["n_duplicate"]) for r in got.collect()} == brute_links(rows)
+
+
 def test_tool_call_query_serialises_every_message(spark):
     want = defaultdict(list)
     for r in sorted(table(spark, SF, "conversations").collect(), key=lambda r: (r["conv_id"], r["turn"])):
