@@ -18,11 +18,13 @@ question and answer columns, an item's last sentence is its answer (none if it i
 question of under five words is verified together with its answer, and one of under twenty in shorter shingles (a
 quarter of its words), so that one changed word does not hide it.
 
-The item statistics (N, document frequencies, mean length) are computed by Spark over all items.  The
-index is built and broadcast in blocks of items of at most ``block_bytes`` of text each, one pass
-over the documents per block, so what is broadcast is bounded however many items there are.
+The item statistics (N, document frequencies, mean length) are computed by Spark over all items.  Items of equal
+question and answer are indexed once and joined back to their ids.  The index is built and broadcast in blocks
+of about ``block_bytes`` of different items' text each (one item may be larger), so what is broadcast is bounded however many items or
+copies there are.  With more than one block the documents are cut into words once and every block reads those.
 
-Words are runs of letters, digits and underscores, lower-cased.  Defined cases: a null or empty text has no
+Words are runs of letters, digits and underscores, lower-cased; a script written without blanks has one word per run, so its
+items are found where a whole run agrees.  A text of any length is looked up ``GROUP`` passages at a time.  Defined cases: a null or empty text has no
 passage; an item without words is found nowhere; repeated documents and items each give their rows; null ids are carried; an empty
 table on either side gives an empty result.
 """
@@ -179,10 +181,11 @@ class _Lists:
 
 
 def _matches_column(text: Column, indexes, min_question: float, min_answer: float) -> Column:
+    """Matches of a text, or of its words."""
     @F.pandas_udf(MATCH)
     def match(texts: pd.Series) -> pd.Series:
         return pd.Series([[m for index in indexes.value for m in index.matches(words, min_question, min_answer)]
-                          for words in map(words_of, texts)])
+                          for words in (words_of(t) if t is None or isinstance(t, str) else list(t) for t in texts)])
 
     return match(text)
 
@@ -211,27 +214,34 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     def split_words(texts: pd.Series) -> pd.Series:
         return texts.map(words_of)
 
-    known = cut(_item_texts(items, item_id_col, item_text_col, question_col, answer_col)
-                .withColumn("words", split_words(F.concat_ws("\n", "question", "answer"))), "items")
-    n, total, size = known.where(F.size("words") > 0).agg(
-        F.count(F.lit(1)), F.sum(F.size("words")), F.sum(F.octet_length("question") + F.octet_length("answer"))).first()
+    known = cut(_item_texts(items, item_id_col, item_text_col, question_col, answer_col), "items")
+    # equal items are one entry of the index; their number counts in the statistics
+    entries = cut(known.groupBy("question", "answer").agg(F.count(F.lit(1)).alias("copies"))
+                  .withColumn("words", split_words(F.concat_ws("\n", "question", "answer"))).where(F.size("words") > 0)
+                  .withColumn("entry", F.monotonically_increasing_id()), "entries")
+    n, total, size = entries.agg(F.sum("copies"), F.sum(F.size("words") * F.col("copies")),
+                                 F.sum(F.octet_length("question") + F.octet_length("answer"))).first()
     if not n:
         return docs.limit(0).select(F.col(id_col), F.explode(F.expr(f"cast(array() as {MATCH})")).alias("__m")).select(id_col, "__m.*")
     n_blocks = -(-size // block_bytes)
-    # rows, not ids: repeated items go to blocks of their own
-    known = known.withColumn("block", F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(n_blocks)))
-    distinct = known.select("block", F.explode(F.array_distinct("words")).alias("word"))
-    frequency = cut(distinct.groupBy("word").agg(F.count(F.lit(1)).alias("df")), "frequency")
+    entries = entries.withColumn("block", F.pmod(F.xxhash64("question", "answer"), F.lit(n_blocks)))
+    frequency = cut(entries.select("copies", F.explode(F.array_distinct("words")).alias("word"))
+                    .groupBy("word").agg(F.sum("copies").alias("df")), "frequency")
+    texts = docs.select(F.col(id_col), F.col(text_col).alias("__text"))
+    if n_blocks > 1:
+        texts = cut(texts.withColumn("__text", split_words("__text")), "words")
     found = []
     for block in range(n_blocks):
-        here = known.where(F.col("block") == block)
-        # one block: its texts are at most about block_bytes, and so are its words
+        here = entries.where(F.col("block") == block)
+        # one block: its texts are about block_bytes, and so are its words
         df = dict(here.select(F.explode("words").alias("word")).distinct().join(frequency, "word").select("word", "df").collect())
-        rows = sorted(((r[0], r[1], r[2]) for r in here.select("item_id", "question", "answer").collect()), key=repr)
+        rows = sorted(((r[0], r[1], r[2]) for r in here.select("entry", "question", "answer").collect()), key=lambda r: r[1:])
         by_class = defaultdict(list)
         for row in rows:
             by_class[length_class(len(words_of(row[1])) + len(words_of(row[2])))].append(row)
         indexes = spark.sparkContext.broadcast([Index(by_class[k], k, n, total / n, df, min_score, shingle) for k in sorted(by_class)])
-        matches = _matches_column(F.col(text_col), indexes, min_question, min_answer)
-        found.append(docs.select(F.col(id_col), F.explode(matches).alias("__m")).select(id_col, "__m.*"))
-    return reduce(DataFrame.unionByName, found)
+        matches = _matches_column(F.col("__text"), indexes, min_question, min_answer)
+        found.append(texts.select(F.col(id_col).alias("__doc"), F.explode(matches).alias("__m")).select("__doc", "__m.*"))
+    ids = known.join(entries.select("question", "answer", "entry"), ["question", "answer"]).select(F.col("entry").alias("__entry"), F.col("item_id").alias("__item"))
+    return (reduce(DataFrame.unionByName, found).join(ids, F.col("item_id") == F.col("__entry"))
+            .select(F.col("__doc").alias(id_col), F.col("__item").alias("item_id"), "score", "question", "answer", "start", "end"))

@@ -184,6 +184,22 @@ def test_leak_edge_cases(spark):
     assert decontaminate.find_leaks(docs, items.limit(0)).count() == 0
 
 
+def test_copies_of_items_are_indexed_once_and_all_reported(spark):
+    items = [(r["item_id"], r["text"]) for r in table(spark, SMALL, "benchmark").collect()]
+    many = items + [(1000 + k, items[k % 2][1]) for k in range(400)] + [(items[0][0], items[0][1]), (None, items[1][1])]
+    docs = [(k, f"before {t} after") for k, (_, t) in enumerate(items[:4])]
+    frame = spark.createDataFrame(docs, "doc_id long, text string").withColumns({"item_id": F.lit("x"), "__text": F.lit(1), "__m": F.lit(2)})
+    found = {}
+    for size in (16 << 20, 500):  # one block of the distinct items, and many
+        rows = decontaminate.find_leaks(frame, spark.createDataFrame(many, "item_id long, text string"), block_bytes=size).collect()
+        found[size] = sorted(((r["doc_id"], r["item_id"], round(r["score"], 9)) for r in rows), key=repr)
+    assert found[500] == found[16 << 20]
+    pairs = Counter((d, i) for d, i, _ in found[500])
+    for doc in range(2):
+        want = Counter(i for i, t in many if t == items[doc][1])
+        assert Counter({i: n for (d, i), n in pairs.items() if d == doc and i in want}) == want
+
+
 # ---- URL filter
 
 RULES = queries.URL_RULES
