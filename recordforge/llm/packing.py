@@ -21,6 +21,7 @@ other; an empty table gives an empty table.
 from __future__ import annotations
 
 import bisect
+import json
 import os
 import re
 import zlib
@@ -46,6 +47,20 @@ UNUSUAL = re.compile("[^ -~\u00a1-\u00b1\u00b4-\u00b8\u00ba\u00bb\u00bf-\u012f\u
 
 _tokenizers: dict = {}
 
+#: fixed values: the normaliser and pre-tokenizer that ``WORD``, ``UNUSUAL`` and the split at blanks are the short form of
+KNOWN_NORMALIZER = {"type": "Sequence", "normalizers": [
+    {"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]}
+KNOWN_PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": "'s|'t|'re|'ve|'m|'ll|'d|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def splits_as_known(tokenizer) -> bool:
+    """True if the tokenizer prepares texts as this module's short cut does; others encode whole texts."""
+    spec = json.loads(tokenizer.to_str())
+    return (spec["normalizer"] == KNOWN_NORMALIZER and spec["pre_tokenizer"] == KNOWN_PRE_TOKENIZER
+            and all(t["content"].startswith("<|") for t in spec["added_tokens"]))
+
 
 class WordCache:
     """Ids of a text, part by part: the tokenizer never joins characters across a blank, so the ids
@@ -56,8 +71,9 @@ class WordCache:
         from tokenizers import Tokenizer, pre_tokenizers
 
         if path not in _tokenizers:  # the bare tokenizer stays with the worker
-            _tokenizers[path] = Tokenizer.from_file(path)
-        self.tokenizer = _tokenizers[path]
+            tokenizer = Tokenizer.from_file(path)
+            _tokenizers[path] = tokenizer, splits_as_known(tokenizer)
+        self.tokenizer, self.known = _tokenizers[path]
         self.model = self.tokenizer.model
         self.letters = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
         # two generations each: a full one becomes the old one, so that frequent entries survive
@@ -93,6 +109,8 @@ class WordCache:
 
     def ids(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit numbers."""
+        if not self.known:
+            return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
         text = text.replace("\n", " ")
         if UNUSUAL.search(text):  # part by part: only the unusual ones need the whole tokenizer
             return b"".join([array("I", self.tokenizer.encode(p, add_special_tokens=False).ids).tobytes() if UNUSUAL.search(p)

@@ -383,6 +383,18 @@ def test_packing_plan_is_exact_and_near_the_bound():
         assert used <= 1.01 * sum(k * v for k, v in histogram.items()) / 4096 + 1 or n <= 50
 
 
+def test_another_tokenizer_gives_its_own_ids(spark):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    tok = Tokenizer.from_file(path)
+    cache = packing.WordCache(path)
+    assert not cache.known and packing.WordCache(queries.tokenizer_path()).known
+    for text in [t for t in AWKWARD if t] + ["Upper  and\nlower \t CASE", "it's 12 o'clock"]:
+        assert list(memoryview(cache.ids(text)).cast("I")) == tok.encode(text, add_special_tokens=False).ids
+
+
 def test_word_cache_equals_the_tokenizer():
     from tokenizers import Tokenizer
     import numpy as np
