@@ -19,7 +19,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from recordforge.llm.common import WORD_BREAK, hash128, line_key
+from recordforge.llm.common import WORD_BREAK, cut, hash128, line_key
 
 SYMBOLS = "#*$%&|<>"
 BLANK_CHARS = " \t\n\x0b\x0c\r"
@@ -86,7 +86,8 @@ def clean_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .where(F.char_length("__key") >= min_chars)
              .select("__id", "__host", "__th", "__pos", count_words(F.col("__line")).alias("__words"),
                      *[h.alias(n) for h, n in zip(hash128(F.col("__key")), ("__h1", "__h2"))]))
-    frequent = boilerplate_lines(lines.where("__id is not null"), max_docs)
+    # written, so that the join below has a shuffle of its own, in which a line of very many documents can be split
+    frequent = cut(boilerplate_lines(lines.where("__id is not null"), max_docs), "boilerplate")
     # equal rows hold equal lines at equal positions: the set holds each once
     lost = (lines.join(frequent, ["__host", "__h1", "__h2"])
             .groupBy(F.col("__id").alias("__id1"), F.col("__host").alias("__host1"), F.col("__th").alias("__th1"))
