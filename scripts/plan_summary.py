@@ -33,14 +33,14 @@ def summarise(plan: str) -> dict:
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    import __spark_entry__ as entry
+    from recordforge.plans.catalog import QUERIES
     spark = local_session(shuffle_partitions=16)
     print(f"# Final physical plans at {sf}\n")
     print("Generated by `scripts/plan_summary.py`: every key executed once, then its final adaptive plan counted.")
     print("Broadcasts are chosen by AQE from measured sizes (static broadcast is off); Python evaluation never appears.\n")
     print("| key | plan operators | pushed scan filters |")
     print("| --- | --- | --- |")
-    for key, q in entry.queries().items():
+    for key, q in QUERIES.items():
         df = q(spark, sf)
         qe = df._jdf.queryExecution()
         qe.toRdd().count()  # runs this DataFrame's own plan on the JVM side; AQE finalises it
