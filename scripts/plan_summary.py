@@ -37,7 +37,8 @@ def main():
     spark = local_session(shuffle_partitions=16)
     print(f"# Final physical plans at {sf}\n")
     print("Generated by `scripts/plan_summary.py`: every key executed once, then its final adaptive plan counted.")
-    print("Broadcasts are chosen by AQE from measured sizes (static broadcast is off); Python evaluation never appears.\n")
+    print("Broadcasts are chosen by AQE from measured sizes (static broadcast is off); Python evaluation never appears.")
+    print("A round-robin shuffle is there only where a source has fewer splits than the session has cores, as these single files do.\n")
     print("| key | plan operators | pushed scan filters |")
     print("| --- | --- | --- |")
     for key, q in QUERIES.items():
