@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import string
 import uuid
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -39,18 +40,30 @@ def hash128(col: Column) -> tuple[Column, Column]:
     return F.xxhash64(col), F.xxhash64(F.lit("second"), col)
 
 
-def cut(df: DataFrame, name: str) -> DataFrame:
+#: tables written by ``cut`` -> (file system, folder)
+_FOLDERS: WeakKeyDictionary[DataFrame, tuple] = WeakKeyDictionary()
+
+
+def cut(df: DataFrame, name: str, replaces: tuple[DataFrame, ...] = ()) -> DataFrame:
     """Cut the lineage: write ``df`` under ``spark.checkpoint.dir`` and read it back.
 
     A table in the shared folder survives lost executors, is computed once, and is column-pruned
-    when read.  It is removed when the session's JVM ends.
+    when read.  It is removed when the session's JVM ends.  ``replaces`` names tables of earlier calls that nothing but ``df``
+    reads any more (the last round of an iteration): they are removed once the new table is complete, so
+    that the disk an iteration takes does not grow with its rounds.
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
-    hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop_path)
-    return spark.read.schema(df.schema).parquet(path)
+    files = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.deleteOnExit(hadoop_path)
+    for old in replaces:
+        old_files, old_path = _FOLDERS.pop(old)
+        old_files.delete(old_path, True)
+    written = spark.read.schema(df.schema).parquet(path)
+    _FOLDERS[written] = (files, hadoop_path)
+    return written
 
 
 def fresh(df: DataFrame, name: str) -> str:
