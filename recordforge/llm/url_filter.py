@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from recordforge.llm.common import ascii_lower, cut
+from recordforge.operators.link import spread_join
 
 URL = r"(?s)^.*?://([^/?#]*)([^?#]*)"
 LINK = r"(?i)\b(?:href|src)\s*=\s*[\"']?\s*([^\"'\s>]+)"
@@ -59,20 +60,22 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
 
     ``seeds`` holds (kind, host, seed) with seeds of a kind adding up to 1.  Stops when no
     rank changes by more than the share ``tolerance`` of itself, so every host that a seed reaches has its rank, however
-    many links away and however small; a damping below 1 bounds the rounds.  ``rounds`` may set a limit.
+    small.  Rounds: the longest way from a seed, and about log(tolerance) / log(damping) more (85 by default) where links run in
+    rings.  Ranks are doubles: at a damping of 0.85 what a single link passes on vanishes after some 4,300 links (earlier
+    where hosts have many links), which also ends the rounds; hosts beyond count as not reached.  ``rounds`` may set a limit.
     """
     walk = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("from"), F.col("dst").alias("to"), "n").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("from"), F.col("src").alias("to"), "n"))
     out = walk.groupBy("kind", "from").agg(F.sum("n").alias("all"))
-    walk = cut(walk.join(out, ["kind", "from"]).select("kind", "from", "to", (F.col("n") / F.col("all")).alias("share")), "edges")
-    ranks = cut(seeds.select("kind", "host", F.col("seed").alias("rank"), "seed"), "ranks")
+    walk = cut(spread_join(walk, out, ["kind", "from"]).select("kind", "from", "to", (F.col("n") / F.col("all")).alias("share")), "edges")
+    written = ranks = cut(seeds.select("kind", "host", F.col("seed").alias("rank"), "seed"), "ranks")
     for _ in range(rounds) if rounds is not None else itertools.count():
         moved = (ranks.where("rank > 0").join(walk, (ranks.kind == walk.kind) & (F.col("host") == F.col("from")))
                  .select(walk.kind, F.col("to").alias("host"), (damping * F.col("rank") * F.col("share")).alias("rank"),
                          F.lit(0.0).alias("seed"), F.lit(0.0).alias("old")))
         stay = ranks.select("kind", "host", ((1 - damping) * F.col("seed")).alias("rank"), "seed", F.col("rank").alias("old"))
-        ranks = cut(stay.unionByName(moved).groupBy("kind", "host")
-                    .agg(F.sum("rank").alias("rank"), F.sum("seed").alias("seed"), F.sum("old").alias("old")), "ranks")
+        ranks = written = cut(stay.unionByName(moved).groupBy("kind", "host").agg(
+            F.sum("rank").alias("rank"), F.sum("seed").alias("seed"), F.sum("old").alias("old")), "ranks", replaces=(written,))
         change = ranks.where("rank > 0").agg(F.max(F.abs(F.col("rank") - F.col("old")) / F.col("rank"))).first()[0] or 0.0
         ranks = ranks.drop("old")
         if change < tolerance:
