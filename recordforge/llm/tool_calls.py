@@ -117,11 +117,11 @@ def places(links: DataFrame) -> DataFrame:
             return paths.select("row", F.col("top.turn").alias("place"), F.col("top.level").alias("level"))
         if before == seen:  # only rings are left, and what hangs on them; a ring opens at its first message
             opened = paths.where("to is not null and low = me").select(F.col("row").alias("ring"))
-            links = cut(links.join(opened, F.col("row") == F.col("ring"), "left_anti"), "links")
+            links = cut(links.join(opened, F.col("row") == F.col("ring"), "left_anti"), "links", replaces=(paths,))
             paths, seen = start(links), None
             continue
         done = paths.where("to is null")
-        paths = cut(done.unionByName(combine(paths.where("to is not null"), paths)), "paths")
+        paths = cut(done.unionByName(combine(paths.where("to is not null"), paths)), "paths", replaces=(paths,))
 
 
 def link_tool_calls(messages: DataFrame, schemas: dict[str, dict], conv_col: str = "conv_id", turn_col: str = "turn",
@@ -147,14 +147,17 @@ def link_tool_calls(messages: DataFrame, schemas: dict[str, dict], conv_col: str
              .select(F.col("__conv").alias("__cc"), F.col("__call.id").alias("__id"), F.col("__turn").alias("__ct"),
                      F.col("__no").alias("__cn"), F.col("__row").alias("__cr")).where("__id is not null"))
     firsts = calls.groupBy("__cc", "__id").agg(F.min(F.struct("__ct", "__cr", "__cn")).alias("__first"))
+    # the hash of the key is one more key, so that the aggregated side has a shuffle of its own and an identifier answered very often can be split
+    same = lambda a, b: (F.col(a).eqNullSafe(F.col(b)) & (F.col("__id") == F.col("__fid"))
+                         & (F.xxhash64(a, "__id") == F.xxhash64(b, "__fid")))
     answers = (base.where("__answers is not null").select(F.col("__row").alias("__ar"), "__conv", F.col("__answers").alias("__id"))
-               .join(firsts.withColumnRenamed("__id", "__fid"), F.col("__conv").eqNullSafe(F.col("__cc")) & (F.col("__id") == F.col("__fid")))
+               .join(firsts.withColumnRenamed("__id", "__fid"), same("__conv", "__cc"))
                .select("__ar", "__cc", "__id", "__first"))
     # calls of one message that have a result
     answered = (answers.groupBy("__cc", "__id", "__first").agg(F.count(F.lit(1)).alias("__n"))
                 .groupBy(F.col("__first.__cr").alias("__cr")).agg(F.count(F.lit(1)).alias("__answered")))
     duplicates = (calls.join(firsts.select(F.col("__cc").alias("__fc"), F.col("__id").alias("__fid"), "__first"),
-                             F.col("__cc").eqNullSafe(F.col("__fc")) & (F.col("__id") == F.col("__fid")))
+                             same("__cc", "__fc"))
                   .where(F.struct("__ct", "__cr", "__cn") != F.col("__first"))
                   .groupBy(F.col("__cr").alias("__dr")).agg(F.count(F.lit(1)).alias("__duplicate")))
     # written once: the joins of the places read it
