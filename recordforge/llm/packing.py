@@ -24,6 +24,7 @@ import bisect
 import json
 import os
 import re
+import warnings
 import zlib
 from array import array
 from collections import defaultdict
@@ -164,7 +165,11 @@ def _best_pattern(sizes: list[int], values: np.ndarray, capacity: int) -> tuple[
 
 
 def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: int = 2000) -> list[tuple[np.ndarray, int]]:
-    """(pattern, times): the linear programme's configurations, rounded down."""
+    """(pattern, times): the linear programme's configurations, rounded down.
+
+    Pivots until no pattern is worth more than its price, i.e. to the optimum.  If ``rounds`` pivots do not get there, the
+    configurations found so far are used (they pack everything all the same) and a warning names the gap.
+    """
     basis = np.diag([float(capacity // s) for s in sizes])
     need = np.array(demand, float)
     for _ in range(rounds):
@@ -176,6 +181,12 @@ def configurations(sizes: list[int], demand: list[int], capacity: int, rounds: i
         change = np.linalg.solve(basis, pattern)
         ratio = np.where(change > 1e-9, np.maximum(amounts, 0) / np.where(change > 1e-9, change, 1), np.inf)
         basis[:, int(np.argmin(ratio))] = pattern
+    else:
+        total = float(np.linalg.solve(basis, need).sum())
+        prices = np.linalg.solve(basis.T, np.ones(len(sizes)))
+        worth, _ = _best_pattern(sizes, prices, capacity)
+        # prices / worth are feasible for the dual programme, which bounds the optimum from below
+        warnings.warn(f"{rounds} pivots: {total:.1f} sequences planned, the optimum is at least {total / max(1.0, worth):.1f}", stacklevel=2)
     amounts = np.linalg.solve(basis, need)
     return [(basis[:, i].astype(int), int(np.floor(a + 1e-6))) for i, a in enumerate(amounts) if a >= 1 - 1e-6]
 
