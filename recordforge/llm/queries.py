@@ -134,6 +134,71 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op5_url_filter": r"""
+WITH RECURSIVE parts AS (
+  SELECT page_id, html, translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                                  'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+law AS (SELECT * FROM (VALUES ('allow', 'org', '/'), ('block', 'example.org', '/es/'), ('block', 'example.org', '/en/1'),
+                              ('allow', 'com', '/fr/'), ('block', 'com', '/de/')) v(verdict, h, p)),
+judged AS (
+  SELECT page_id, host, path, html,
+         (SELECT max_by(struct_pack(rule := h || p, verdict := verdict), length(h || p)) FROM law
+          WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)) AS fit
+  FROM parts),
+seen AS (SELECT if(fit.verdict = 'allow', 'trust', 'distrust') AS kind, host, count(*) AS n
+         FROM judged WHERE fit IS NOT NULL AND host <> '' GROUP BY ALL),
+seed AS (SELECT kind, host, n / sum(n) OVER (PARTITION BY kind) AS seed FROM seen),
+found AS (SELECT host AS src, unnest(regexp_extract_all(html, '(?i)\b(?:href|src)\s*=\s*["'']?\s*([^"''\s>]+)', 1)) AS link FROM parts),
+aim AS (
+  SELECT src, translate(regexp_extract(link, '^(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)', 1),
+                        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS dst FROM found),
+edge AS (SELECT src, dst, count(*) AS n FROM aim WHERE src <> '' AND dst <> '' AND src <> dst GROUP BY ALL),
+walk AS (
+  SELECT 'trust' AS kind, src AS a, dst AS b, n / sum(n) OVER (PARTITION BY src) AS share FROM edge
+  UNION ALL SELECT 'distrust', dst, src, n / sum(n) OVER (PARTITION BY dst) FROM edge),
+flow AS (
+  SELECT 0 AS round, kind, host, seed AS rank FROM seed
+  UNION ALL
+  SELECT round, kind, host, sum(rank) AS rank FROM (
+    SELECT f.round + 1 AS round, w.kind, w.b AS host, 0.85::DOUBLE * f.rank * w.share AS rank
+    FROM flow f JOIN walk w ON w.kind = f.kind AND w.a = f.host WHERE f.round < 200
+    UNION ALL
+    SELECT r.round, s.kind, s.host, (1 - 0.85::DOUBLE) * s.seed FROM seed s, (SELECT max(round) + 1 AS round FROM flow) r WHERE r.round <= 200)
+  GROUP BY round, kind, host),
+ended AS (SELECT kind, host, rank FROM flow WHERE round = 200),
+share AS (
+  SELECT host, coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0.0)
+               / (coalesce(sum(rank) FILTER (WHERE kind = 'trust'), 0.0) + coalesce(sum(rank) FILTER (WHERE kind = 'distrust'), 0.0)) AS distrust
+  FROM ended GROUP BY host)
+SELECT j.page_id, j.host, j.path, j.fit.rule AS rule,
+       coalesce(j.fit.verdict, if(s.distrust > 0.5, 'block', 'allow')) AS verdict, s.distrust
+FROM judged j LEFT JOIN share s ON s.host = j.host""",
+    "op6_quality_rules": r"""
+WITH d AS (SELECT doc_id, coalesce(text, '') AS t, coalesce(source, '') AS host,
+                  regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+word AS (SELECT doc_id, unnest(w) AS x, unnest(range(1, len(w) + 1)) AS i FROM d),
+window3 AS (
+  SELECT doc_id, i, x || ' ' || lead(x, 1) OVER following || ' ' || lead(x, 2) OVER following AS g
+  FROM word WINDOW following AS (PARTITION BY doc_id ORDER BY i) QUALIFY g IS NOT NULL),
+twice AS (SELECT doc_id, i FROM window3 QUALIFY count(*) OVER (PARTITION BY doc_id, g) > 1),
+repeats AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM twice, (SELECT unnest([0, 1, 2]) AS k) GROUP BY doc_id),
+lines AS (
+  SELECT doc_id, host, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS n_words,
+         translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, host, unnest(string_split(t, chr(10))) AS line FROM d)),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM lines WHERE n_words > 0 GROUP BY doc_id),
+boilerplate AS (SELECT host, key FROM lines WHERE length(key) >= 20 GROUP BY host, key HAVING count(DISTINCT doc_id) > 10),
+lost AS (SELECT doc_id, sum(n_words) AS n FROM lines SEMI JOIN boilerplate USING (host, key) GROUP BY doc_id),
+measured AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+         CAST(length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dups.n, 0) AS BIGINT) AS n_dup_lines, CAST(coalesce(repeats.n, 0) AS BIGINT) AS n_repeat_words,
+         CAST(coalesce(lost.n, 0) AS BIGINT) AS n_boilerplate_words
+  FROM d LEFT JOIN repeats USING (doc_id) LEFT JOIN dups USING (doc_id) LEFT JOIN lost USING (doc_id)),
+base AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM measured)
+SELECT *, NOT base_failed AND n_words - n_boilerplate_words >= 0.5 * n_words AS kept FROM base""",
     "op11_phrase_collocations": r"""
 WITH pieces AS (
   SELECT coalesce(lang, 'und') AS lang,

@@ -269,6 +269,31 @@ def test_distrust_reaches_the_end_of_a_long_chain(spark):
     assert {r["page_id"]: (r["verdict"], r["distrust"]) for r in got} == {**{k: ("block", 1.0) for k in range(33)}, 99: ("block", 1.0)}
 
 
+def test_propagation_over_linked_hosts_matches_the_sql(spark, tmp_path):
+    import duckdb
+
+    rng = random.Random(11)
+    hosts = ["a.org", "b.org", "example.org", "x.com", "y.com", *(f"h{k}.net" for k in range(40))]
+    rows = []
+    for k in range(300):
+        links = [f"https://{rng.choice(hosts)}/{rng.randrange(9)}" for _ in range(rng.randrange(4))] + ["/own", "//B.org/z"][:rng.randrange(3)]
+        path = rng.choice(["/", "/es/1", "/en/1", "/de/2", "/fr/3", "?q"])
+        rows.append((k, f"http://{rng.choice(hosts)}{path}", " ".join(f"<a HREF='{x}'>" for x in links) if k % 7 else None))
+    rows += [(1000 + k, f"http://far{k}.net/", f'<img src="http://far{k + 1}.net/">') for k in range(20)]
+    rows += [(2000, "http://far20.net/", '<a href="http://x.com/de/">'), (2001, None, None), (2002, "no url", "<a href=http://x.com/>")]
+    spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1).write.parquet(str(tmp_path / "pages.parquet"))
+    got = {r["page_id"]: r.asDict() for r in queries.op5_url_filter(spark, str(tmp_path)).collect()}
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    rel = con.sql(queries.ORACLE["op5_url_filter"])
+    want = {r[0]: dict(zip(rel.columns, r)) for r in rel.fetchall()}
+    assert set(got) == set(want) == {r[0] for r in rows}
+    for k, r in got.items():
+        assert (r.pop("distrust") or 0) - (want[k].pop("distrust") or 0) < 1e-6 and r == want[k]
+    propagated = Counter(r["verdict"] for r in got.values() if r["rule"] is None)
+    assert propagated["block"] > 20 and propagated["allow"] > 20
+
+
 # ---- tool calls
 
 def test_calls_are_linked_ordered_checked_and_canonical(spark):

@@ -315,6 +315,19 @@ def test_sharding(spark):
     assert sorted(r["shard"] for r in sharding.shard_by_bytes(nulls).collect()) == [2, 6]
 
 
+def test_shards_match_brute_force(spark):
+    docs = table(spark, SF, "documents").select("doc_id", "text").unionByName(
+        documents(spark, AWKWARD).select((F.col("doc_id") + 10 ** 6).alias("doc_id"), "text"))
+    rows = sorted((r["doc_id"], len((r["text"] or "").encode()) + 1, crc((r["text"] or "").encode())) for r in docs.collect())
+    total, before, slots, want = sum(r[1] for r in rows), 0, Counter(), []
+    for i, size, code in rows:
+        shard = min(7, (2 * before + size) * 8 // (2 * total))
+        want.append((i, size, code, shard, slots[shard]))
+        slots[shard] += 1
+        before += size
+    assert sorted(map(tuple, sharding.shard_by_bytes(docs).select("doc_id", "size", "text_crc32", "shard", "slot").collect())) == want
+
+
 def test_written_shards_hold_whole_texts(spark, tmp_path):
     sharding.write_shards(table(spark, SF, "documents"), str(tmp_path / "shards"))
     back = spark.read.parquet(str(tmp_path / "shards"))
