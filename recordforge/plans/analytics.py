@@ -103,7 +103,11 @@ def employer_age_report(labelled: DataFrame) -> DataFrame:
 
 
 def salary_comparison(tech_job: DataFrame, geography: DataFrame, wages: DataFrame) -> DataFrame:
-    """V6: each tech job's offered wage against the area's average for its occupation and year."""
+    """V6: each tech job's offered wage against the area's average for its occupation and year.
+
+    Geography and wages grow with the areas, and Spark's size estimate does not count the rows that an explode adds:
+    it may broadcast millions of them through the driver.  The merge hints keep both joins shuffled in any session.
+    """
     j = computed_once(tech_job.filter(F.col("wage_rate_of_pay_from").isNotNull()).select(
         "job_id", "worksite_county", "worksite_state", "soc_code", "soc_name",
         "employment_start_year", "employment_start_date", "wage_rate_of_pay_from",
@@ -115,8 +119,8 @@ def salary_comparison(tech_job: DataFrame, geography: DataFrame, wages: DataFram
     w = wages.select(
         "area", F.col("year").alias("employment_start_year"), "soc_code", "annual_salary",
     )
-    jg = j.join(g, on=["worksite_county", "worksite_state", "employment_start_year"], how="inner")
-    jgw = jg.join(w, on=["area", "employment_start_year", "soc_code"], how="inner")
+    jg = j.join(g.hint("merge"), on=["worksite_county", "worksite_state", "employment_start_year"], how="inner")
+    jgw = jg.join(w.hint("merge"), on=["area", "employment_start_year", "soc_code"], how="inner")
     job_pay, avg_pay = F.col("wage_rate_of_pay_from"), F.col("annual_salary")
     return jgw.select(
         "job_id", "worksite_county", "state", "soc_code", "soc_name",
