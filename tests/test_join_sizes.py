@@ -36,7 +36,7 @@ def default_broadcasts(spark):
         spark.conf.set(k, v)
 
 
-@pytest.mark.parametrize("key", ["salaries_through_sql", "salary_comparison", "salary_comparison_sorted", "salary_delta_by_occupation"])
+@pytest.mark.parametrize("key", ["salaries_through_sql", "salary_comparison", "salary_comparison_sorted", "salary_delta_by_occupation", "salary_delta_by_occupation_sorted"])
 def test_wages_and_geography_are_never_broadcast(spark, small_sf, default_broadcasts, key):
     import duckdb
 
